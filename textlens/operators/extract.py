@@ -115,9 +115,13 @@ def label_by_heading(
     keep_headings: bool = False,
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
-    """Give each body row the last heading before it; rows before any heading go."""
-    value = F.when(F.col("kind") == heading, F.col("text"))
-    labelled = carry_forward(segments, [key], "pos", value, "label", chunk_rows).where("label is not null")
+    """Give each body row the last heading before it; rows before any heading go.
+
+    ``section`` is the position of that heading: equal labels may head several sections.
+    """
+    value = F.when(F.col("kind") == heading, F.struct(F.col("pos").alias("section"), F.col("text").alias("label")))
+    carried = carry_forward(segments, [key], "pos", value, "_heading", chunk_rows)
+    labelled = carried.where("_heading is not null").select(*segments.columns, "_heading.section", "_heading.label")
     return labelled if keep_headings else labelled.where(F.col("kind") != heading)
 
 
@@ -138,7 +142,7 @@ def keep_labels(
 def join_fragments(
     rows: DataFrame,
     separator: str = HALF_SEPARATOR,
-    group: Sequence[str] = ("page_id", "label"),
+    group: Sequence[str] = ("page_id", "section"),
     position: str = "pos",
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
@@ -192,5 +196,5 @@ def extract_couplets(
         labelled = body.unionByName(labelled.where(F.col("kind") == heading))
         joined = join_fragments(labelled, separator, [key])
     else:
-        joined = join_fragments(keep_labels(labelled, excluded, prefix), separator, [key, "label"])
+        joined = join_fragments(keep_labels(labelled, excluded, prefix), separator, [key, "section"])
     return split_couplets(joined, separator).drop("kind")
