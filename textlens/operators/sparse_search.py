@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from textlens.functions import text as tx
 from textlens.operators import postings as ps
 from textlens.operators.fuzzy import fuzzy_expand
-from textlens.operators.joins import BROADCAST_ROWS, top_per_key
+from textlens.operators.joins import BROADCAST_ROWS, measured_join, top_per_key
 from textlens.session import cut
 
 # Result limits of the vector methods and of the full-text method.
@@ -148,8 +148,6 @@ def fulltext_query_weights(words: DataFrame, expansions: DataFrame, documents: i
 
 def attach_documents(hits: DataFrame, docs: DataFrame, columns: Sequence[str], key: str = "doc_id") -> DataFrame:
     """Add document columns to the hits (Q8). Hits are stored and counted before they are broadcast."""
-    from textlens.operators.joins import measured_join
-
     return measured_join(docs.select(key, *columns), hits, [key])
 
 
