@@ -97,9 +97,10 @@ def fulltext_tokens(text: Column) -> Column:
 
 def drop_stop_words(tokens: Column, stop_words: Column | Sequence[str]) -> Column:
     """Tokens not in the list; the list is a Python sequence or an array column."""
-    if not isinstance(stop_words, Column):
-        stop_words = F.array(*[F.lit(w) for w in stop_words]).cast("array<string>")
-    return F.filter(tokens, lambda t: ~F.array_contains(stop_words, t))
+    if isinstance(stop_words, Column):
+        return F.filter(tokens, lambda t: ~F.array_contains(stop_words, t))
+    listed = list(stop_words)
+    return F.filter(tokens, lambda t: ~t.isin(listed)) if listed else tokens
 
 
 def word_ngrams(tokens: Column, low: int = 1, high: int = 2) -> Column:

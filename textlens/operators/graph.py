@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textlens.operators.joins import BROADCAST_ROWS, measured_join, salted_join, top_per_key
+from textlens.operators.ordering import dense_index
 from textlens.session import cut
 
 # Damping, PageRank rounds for an error below 1e-8 (0.9^175), HITS rounds.
@@ -27,14 +28,14 @@ _PLAIN_NAMES = r"^[\p{L}\p{N}_]+(\|[\p{L}\p{N}_]+)*$"
 
 
 def distinct_entities(entities: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
-    """Give equal regexes one ``entity_id``, a hash of the regex, so repeats never multiply rows.
+    """Give equal regexes one ``entity_id``, their number in regex order, so repeats never multiply rows.
 
     ``columns`` are kept, the smallest value of a repeated entry.
     """
     keys = ["regex", *(["type"] if "type" in entities.columns else [])]
     kept = [F.min(c).alias(c) for c in columns if c not in keys]
     unique = entities.groupBy(*keys).agg(*kept) if kept else entities.select(*keys).distinct()
-    return unique.withColumn("entity_id", F.xxhash64(*keys))
+    return dense_index(unique, keys, "entity_id")
 
 
 def _name_matches(docs: DataFrame, names: DataFrame, key: str, text: Column) -> DataFrame:
