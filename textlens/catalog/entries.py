@@ -185,7 +185,7 @@ def load_word_vectors(spark, sf_dir):
     write_word_vectors(inputs.word_vectors(single), path)
     loaded = read_word_vectors(spark, path)
     return loaded.select("word", F.posexplode("vec").alias("dim", "value")).withColumn(
-        "value", _r(F.col("value").cast("double"), 4)
+        "value", _r(F.col("value").cast("double"), 4) + 0.0
     )
 
 
@@ -194,7 +194,7 @@ def word_embedding_docs(spark, sf_dir):
     docs = inputs.documents(spark, sf_dir)
     embed = _word_embeddings(docs, ss.fit_vocabulary(docs, _terms(docs)))
     vectors = embed(docs, "doc_id")
-    return vectors.select("doc_id", F.posexplode("vec").alias("dim", "value")).withColumn("value", _r("value"))
+    return vectors.select("doc_id", F.posexplode("vec").alias("dim", "value")).withColumn("value", _r("value") + 0.0)
 
 
 @entry

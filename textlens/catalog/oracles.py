@@ -202,7 +202,7 @@ ORACLES["load_word_vectors"] = _with(
     _VOCAB,
     _WORD_VECTORS,
     select=" UNION ALL ".join(
-        f"SELECT term AS word, {i}::INT AS dim, round(v{i}::FLOAT::DOUBLE, 4) AS value FROM wv"
+        f"SELECT term AS word, {i}::INT AS dim, round(v{i}::FLOAT::DOUBLE, 4) + 0.0 AS value FROM wv"
         for i in range(inputs.WORD_DIMENSION)
     ),
 )
@@ -224,7 +224,7 @@ ORACLES["word_embedding_docs"] = _with(
     *_FIT,
     _WORD_VECTORS,
     _mean_vectors("dv", "documents", "doc_id"),
-    select="SELECT doc_id, dim, round(value, 6) AS value FROM dv",
+    select="SELECT doc_id, dim, round(value, 6) + 0.0 AS value FROM dv",
 )
 
 # ---------------------------------------------------------------- search

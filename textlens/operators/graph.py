@@ -38,6 +38,14 @@ def distinct_entities(entities: DataFrame, columns: Sequence[str] = ()) -> DataF
     return dense_index(unique, keys, "entity_id")
 
 
+def _pieces(word: Column, size: int) -> Column:
+    """All substrings of one size."""
+    cuts = F.transform(
+        F.sequence(F.lit(1), F.length(word) - (size - 1)), lambda i: F.substring(word, i, F.lit(size))
+    )
+    return F.when(F.length(word) >= size, cuts).otherwise(F.array().cast("array<string>"))
+
+
 def _name_matches(docs: DataFrame, names: DataFrame, key: str, text: Column) -> DataFrame:
     """Names of word characters: found in the distinct words of the corpus, then joined back.
 
@@ -48,22 +56,7 @@ def _name_matches(docs: DataFrame, names: DataFrame, key: str, text: Column) ->
     words = docs.select(key, F.explode(F.array_distinct(F.regexp_extract_all(text, F.lit(_RUN), 0))).alias("_word"))
     if not lengths:
         return words.where("false").select(key, F.lit(0).cast("long").alias("entity_id"))
-    pieces = F.array_distinct(
-        F.flatten(
-            F.array(
-                *[
-                    F.when(
-                        F.length("_word") >= n,
-                        F.transform(
-                            F.sequence(F.lit(1), F.length("_word") - (n - 1)),
-                            lambda i, n=n: F.substring(F.col("_word"), i, F.lit(n)),
-                        ),
-                    ).otherwise(F.array().cast("array<string>"))
-                    for n in sorted(lengths)
-                ]
-            )
-        )
-    )
+    pieces = F.array_distinct(F.flatten(F.array(*[_pieces(F.col("_word"), n) for n in sorted(lengths)])))
     shortest = min(lengths)
     distinct = words.where(F.length("_word") >= shortest).select("_word").distinct()
     cuts = distinct.select("_word", F.explode(pieces).alias("name"))
