@@ -28,7 +28,7 @@ from textlens.streaming.arrivals import answer_arrivals
 ENTRIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 # Rounds in the fixed-round graph queries, compared with SQL after the same number of rounds.
-GRAPH_ROUNDS = 15
+GRAPH_ROUNDS = 10
 PERSON_WINDOW = 5
 PLACE_WINDOW = 20
 
@@ -453,7 +453,7 @@ def _lines_and_entities(spark, sf_dir):
 
 def _named(rows, entities, pairs):
     """Replace entity ids by their regex text: ``pairs`` maps id column to new column."""
-    names = cut(entities.select("entity_id", "regex"))
+    names = entities.select("entity_id", "regex")
     for column, name in pairs.items():
         renamed = names.select(F.col("entity_id").alias(column), F.col("regex").alias(name))
         rows = measured_join(rows, renamed, [column]).drop(column)

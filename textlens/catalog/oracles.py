@@ -11,7 +11,7 @@ from textlens.functions.text import SPACING_RULES, UNIFIED_CHARACTERS
 
 ORACLES: dict[str, str] = {}
 
-_GRAPH_ROUNDS = 15
+_GRAPH_ROUNDS = 10
 
 
 def _with(*tables: str, select: str) -> str:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from textlens.operators.joins import BROADCAST_ROWS, measured_join, salted_join, top_per_key
 from textlens.operators.ordering import dense_index
-from textlens.session import cut
+from textlens.session import cut, cut_counted
 
 # Damping, PageRank rounds for an error below 1e-8 (0.9^175), HITS rounds.
 DAMPING = 0.9
@@ -35,7 +35,7 @@ def distinct_entities(entities: DataFrame, columns: Sequence[str] = ()) -> DataF
     keys = ["regex", *(["type"] if "type" in entities.columns else [])]
     kept = [F.min(c).alias(c) for c in columns if c not in keys]
     unique = entities.groupBy(*keys).agg(*kept) if kept else entities.select(*keys).distinct()
-    return dense_index(unique, keys, "entity_id")
+    return dense_index(unique, keys, "entity_id", keep=cut)
 
 
 def _pieces(word: Column, size: int) -> Column:
@@ -83,7 +83,7 @@ def entity_mentions(docs: DataFrame, entities: DataFrame, key: str = "seq", text
     by the driver and tested on each text.
     """
     text = F.col("text") if text is None else text
-    stored = cut(entities.select("entity_id", "regex"))
+    stored = entities.select("entity_id", "regex")
     plain = F.col("regex").rlike(_PLAIN_NAMES)
     names = stored.where(plain).select("entity_id", F.explode(F.split("regex", r"\|")).alias("name")).distinct()
     found = _name_matches(docs, names, key, text)
@@ -144,11 +144,19 @@ def adjacency(counts: DataFrame) -> DataFrame:
     return counts.where(F.col("shared") > 0).select("src", "dst")
 
 
-def _follow(edges: DataFrame, ranks: DataFrame, nodes: int, value: str) -> DataFrame:
-    """Edges with the value of their source; the graph is never collected or re-shuffled for it."""
-    if nodes <= BROADCAST_ROWS:
-        return edges.join(F.broadcast(ranks.select(F.col("node").alias("src"), value)), "src")
-    return salted_join(edges, ranks.select(F.col("node").alias("src"), value), ["src"])
+def _ends(edges: DataFrame) -> DataFrame:
+    return edges.select(F.explode(F.array("src", "dst")).alias("node"))
+
+
+def _spread(edges: DataFrame, values: DataFrame, nodes: int) -> DataFrame:
+    """``(node, value)``: sum over in-edges of the source's value times the edge weight.
+
+    The values, one per node, are broadcast while they are few; edges are not shuffled for them,
+    and sums are formed in each task before the exchange on the target.
+    """
+    side = values.select(F.col("node").alias("src"), "value")
+    met = edges.join(F.broadcast(side), "src") if nodes <= BROADCAST_ROWS else salted_join(edges, side, ["src"])
+    return met.groupBy(F.col("dst").alias("node")).agg(F.sum(F.col("value") * F.col("weight")).alias("value"))
 
 
 def pagerank(
@@ -161,43 +169,40 @@ def pagerank(
 ) -> DataFrame:
     """``(node, rank)`` with uniform teleport, summing to 1.
 
-    Runs ``rounds`` rounds, or stops earlier once ranks move by less than ``tolerance`` (L1) in a
-    round. Ranks are stored every ``stride`` rounds, which keeps plans short and lets a lost
-    executor be replaced. ``nodes`` adds nodes without edges; nodes without out-edges spread
-    their rank evenly.
+    Runs ``rounds`` rounds, or stops at a stored round once ranks moved by less than ``tolerance``
+    (L1) since the one before. Ranks are stored every ``stride`` rounds, which keeps plans short
+    and lets a lost executor be replaced. ``nodes`` adds nodes without edges; nodes without
+    out-edges spread their rank evenly.
     """
-    ends = edges.select(F.col("src").alias("node")).union(edges.select(F.col("dst").alias("node")))
-    if nodes is not None:
-        ends = ends.union(nodes.select("node"))
+    named = _ends(edges) if nodes is None else _ends(edges).union(nodes.select("node"))
     degrees = edges.groupBy(F.col("src").alias("node")).agg(F.count("*").alias("degree"))
-    ranks = cut(ends.distinct().join(degrees, "node", "left").withColumn("rank", F.lit(1.0)))
-    n = ranks.count()
+    table, n = cut_counted(named.distinct().join(degrees, "node", "left"))
     if n == 0:
-        return ranks.select("node", "rank")
-    stored = cut(edges.select("src", "dst"))
-    dangling = ranks.where("degree is null").limit(1).count() > 0
-    ranks = ranks.withColumn("rank", F.lit(1.0 / n))
+        return table.select("node", F.lit(0.0).alias("rank"))
+    weighted = edges.join(degrees.select(F.col("node").alias("src"), (1 / F.col("degree")).alias("weight")), "src")
+    # an edge of weight 0 to itself keeps a node without in-edges in every round
+    anchors = table.select(F.col("node").alias("src"), F.col("node").alias("dst"), F.lit(0.0).alias("weight"))
+    stored = cut(weighted.select("src", "dst", "weight").unionByName(anchors))
+    sinks, dangling = cut_counted(table.where("degree is null").select("node"))
+    values = table.select("node", F.lit(1.0 / n).alias("value"))
+    before = values
     for number in range(1, rounds + 1):
-        shares = ranks.withColumn("_share", F.col("rank") / F.col("degree"))
-        received = _follow(stored, shares, n, "_share").groupBy(F.col("dst").alias("node")).agg(F.sum("_share").alias("_in"))
-        lost = ranks.where("degree is null").agg(F.coalesce(F.sum("rank"), F.lit(0.0))).scalar() if dangling else F.lit(0.0)
-        base = (1 - damping) / n + damping * lost / n
-        ranks = _keep_up(ranks.withColumnRenamed("rank", "_old"), received, n).withColumn(
-            "rank", base + damping * F.coalesce("_in", F.lit(0.0))
-        )
-        last = number == rounds
-        if number % stride == 0 or last:
-            ranks = cut(ranks.select("node", "degree", "_old", "rank"))
-            if tolerance is not None and not last:
-                if ranks.agg(F.sum(F.abs(F.col("rank") - F.col("_old")))).first()[0] < tolerance:
-                    break
-        ranks = ranks.select("node", "degree", "rank")
-    return ranks.select("node", "rank")
+        base = F.lit((1 - damping) / n)
+        if dangling:
+            lost = measured_join(values, sinks, ["node"], "left_semi").agg(F.coalesce(F.sum("value"), F.lit(0.0)))
+            base = base + damping / n * lost.scalar()
+        values = _spread(stored, values, n).select("node", (base + damping * F.col("value")).alias("value"))
+        if number % stride == 0 or number == rounds:
+            values = cut(values)
+            if tolerance is not None and _moved(before, values) < tolerance:
+                break
+            before = values
+    return values.select("node", F.col("value").alias("rank"))
 
 
-def _keep_up(ranks: DataFrame, received: DataFrame, nodes: int) -> DataFrame:
-    small = F.broadcast(received) if nodes <= BROADCAST_ROWS else received
-    return ranks.join(small, "node", "left")
+def _moved(before: DataFrame, after: DataFrame) -> float:
+    both = before.select("node", F.col("value").alias("_old")).join(after, "node")
+    return both.agg(F.sum(F.abs(F.col("value") - F.col("_old")))).first()[0] or 0.0
 
 
 def hits(
@@ -208,36 +213,32 @@ def hits(
     One round: authorities are the sums of hubs along edges, hubs the sums of authorities against
     them. Scaling commutes with both, so it is applied once per stored stride.
     """
-    ends = edges.select(F.col("src").alias("node")).union(edges.select(F.col("dst").alias("node"))).distinct()
-    table = cut(ends.select("node", F.lit(1.0).alias("hubs"), F.lit(1.0).alias("authorities")))
-    n = table.count()
+    table, n = cut_counted(_ends(edges).distinct())
     if n == 0:
-        return table
-    forward = cut(edges.select("src", "dst"))
-    backward = forward.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
-    hubs = table.select("node", (F.col("hubs") / n).alias("hubs"))
-    for number in range(1, rounds + 1):
-        gained = _follow(forward, hubs, n, "hubs").groupBy(F.col("dst").alias("node")).agg(F.sum("hubs").alias("authorities"))
-        returned = (
-            _follow(backward, gained, n, "authorities")
-            .groupBy(F.col("dst").alias("node"))
-            .agg(F.sum("authorities").alias("hubs"))
-        )
-        last = number == rounds
-        if number % stride and not last:
-            hubs = returned
-            continue
-        before = table
-        values = table.select("node").join(gained, "node", "left").join(returned, "node", "left").na.fill(0.0)
-        raw = cut(values)
-        sums = raw.agg(F.sum("hubs"), F.sum("authorities")).first()
-        table = raw.select("node", (F.col("hubs") / sums[0]).alias("hubs"), (F.col("authorities") / sums[1]).alias("authorities"))
-        hubs = table.select("node", "hubs")
-        if tolerance is not None and not last:
-            moved = before.select("node", F.col("hubs").alias("_old")).join(hubs, "node")
-            if moved.agg(F.sum(F.abs(F.col("hubs") - F.col("_old")))).first()[0] < tolerance:
-                break
-    return table.select("node", "hubs", "authorities")
+        return table.select("node", F.lit(0.0).alias("hubs"), F.lit(0.0).alias("authorities"))
+    anchors = table.select(F.col("node").alias("src"), F.col("node").alias("dst"), F.lit(0.0).alias("weight"))
+    forward = cut(edges.select("src", "dst", F.lit(1.0).alias("weight")).unionByName(anchors))
+    backward = forward.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
+    hubs = table.select("node", F.lit(1.0 / n).alias("value"))
+    before, done = hubs, 0
+    while done < rounds:
+        steps = min(stride, rounds - done)
+        for _ in range(steps - 1):
+            hubs = _spread(backward, _spread(forward, hubs, n), n)
+        authorities = cut(_spread(forward, hubs, n))
+        hubs = _unit_sum(cut(_spread(backward, authorities, n)))
+        done += steps
+        if tolerance is not None and _moved(before, hubs) < tolerance:
+            break
+        before = hubs
+    return hubs.select("node", F.col("value").alias("hubs")).join(
+        _unit_sum(authorities).select("node", F.col("value").alias("authorities")), "node"
+    )
+
+
+def _unit_sum(values: DataFrame) -> DataFrame:
+    total = values.agg(F.sum("value")).first()[0] or 1.0
+    return values.select("node", (F.col("value") / total).alias("value"))
 
 
 def entity_ranks(entities: DataFrame, pageranks: DataFrame, hits_ranks: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textlens.session import cut
+from textlens.session import cut_counted
 
 # A stored side with at most this many rows is broadcast.
 BROADCAST_ROWS = 1_000_000
@@ -30,8 +30,8 @@ def measured_join(
     ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``: each row of ``large`` meets
     exactly one copy of its partners, so all four stay exact.
     """
-    stored = cut(small)
-    if stored.count() <= limit_rows:
+    stored, rows = cut_counted(small)
+    if rows <= limit_rows:
         return large.join(F.broadcast(stored), list(keys), how)
     return salted_join(large, stored, keys, how)
 

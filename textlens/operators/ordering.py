@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textlens.session import cut
+from textlens.session import store
 
 # Rows of one group that share a task in the window steps below.
 CHUNK_ROWS = 100_000
@@ -15,15 +15,21 @@ CHUNK_ROWS = 100_000
 _ROW_BITS = 33
 
 
-def dense_index(frame: DataFrame, order: Sequence[str], name: str = "seq") -> DataFrame:
-    """Number rows 0, 1, 2, ... in the given order.
+def dense_index(
+    frame: DataFrame,
+    order: Sequence[str],
+    name: str = "seq",
+    keep: Callable[[DataFrame], DataFrame] = store,
+) -> DataFrame:
+    """Number rows 0, 1, 2, ... in the given order (E8); the order must be unique.
 
     Range-partition on all order columns (a hot first column is split by the next), number rows
     inside partitions, store, and add the row counts of the partitions before. Only the count
-    table, one row per partition, passes through a single task.
+    table, one row per partition, passes through a single task. ``keep`` stores the rows;
+    :func:`~textlens.session.cut` starts faster for small tables.
     """
     ranged = frame.repartitionByRange(*order).sortWithinPartitions(*order)
-    stored = cut(ranged.withColumn("_at", F.monotonically_increasing_id()))
+    stored = keep(ranged.withColumn("_at", F.monotonically_increasing_id()))
     part = F.shiftright("_at", _ROW_BITS)
     counts = stored.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

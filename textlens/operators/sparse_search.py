@@ -18,7 +18,7 @@ from textlens.functions import text as tx
 from textlens.operators import postings as ps
 from textlens.operators.fuzzy import fuzzy_expand
 from textlens.operators.joins import BROADCAST_ROWS, measured_join, top_per_key
-from textlens.session import cut
+from textlens.session import cut, cut_counted
 
 # Result limits of the vector methods and of the full-text method.
 VECTOR_LIMIT = 20
@@ -42,8 +42,8 @@ def score_topk(
     ``(query_id, term, w)``. Only documents that share a term with the query are returned. More
     than ``block_rows`` query weights are split by query into blocks, one pass each.
     """
-    stored = cut(query_weights.select("query_id", "term", F.col("w").alias("_wq")))
-    blocks = max(1, -(-stored.count() // block_rows))
+    stored, rows = cut_counted(query_weights.select("query_id", "term", F.col("w").alias("_wq")))
+    blocks = max(1, -(-rows // block_rows))
     hits = None
     for number in range(blocks):
         block = stored if blocks == 1 else stored.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == number)

@@ -6,7 +6,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(app: str = "textlens", cpus: int | str = 8, partitions: int = 8) -> SparkSession:
@@ -52,3 +53,17 @@ def cut(frame: DataFrame) -> DataFrame:
     """Write ``frame`` to the checkpoint folder and go on from the stored rows."""
     checkpoint_folder(frame.sparkSession)
     return frame.checkpoint(eager=True)
+
+
+def cut_counted(frame: DataFrame) -> tuple[DataFrame, int]:
+    """:func:`cut`, and the number of rows, counted while they are written."""
+    seen = Observation()
+    stored = cut(frame.observe(seen, F.count(F.lit(1)).alias("rows")))
+    return stored, int(seen.get["rows"])
+
+
+def store(frame: DataFrame, name: str = "table") -> DataFrame:
+    """Like :func:`cut` for tables as large as the corpus: a compressed table with column pruning."""
+    path = scratch_path(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
