@@ -21,6 +21,7 @@ from textlens.operators.expand import correct_words, expand_queries
 from textlens.operators.fuzzy import fuzzy_expand
 from textlens.operators.joins import measured_join
 from textlens.operators.ordering import dense_index
+from textlens.operators.rows import unnest
 from textlens.session import cut, scratch_path
 from textlens.sources.vectors import read_word_vectors, write_word_vectors
 from textlens.streaming.arrivals import answer_arrivals
@@ -101,7 +102,7 @@ def normalize_text(spark, sf_dir):
 @entry
 def tokenize(spark, sf_dir):
     docs = inputs.documents(spark, sf_dir)
-    return docs.select("doc_id", F.posexplode(tx.index_tokens(F.col("text"))).alias("pos", "token"))
+    return unnest(docs, tx.index_tokens(F.col("text")), "token", "pos").select("doc_id", "pos", "token")
 
 
 def _stop_words(docs: DataFrame) -> list[str]:
@@ -116,14 +117,14 @@ def _terms(docs: DataFrame):
 def remove_stopwords(spark, sf_dir):
     docs = inputs.documents(spark, sf_dir)
     kept = tx.drop_stop_words(tx.index_tokens(F.col("text")), _stop_words(docs))
-    return docs.select("doc_id", F.posexplode(kept).alias("pos", "token"))
+    return unnest(docs, kept, "token", "pos").select("doc_id", "pos", "token")
 
 
 @entry
 def ngrams(spark, sf_dir):
     docs = inputs.documents(spark, sf_dir)
-    runs = tx.word_ngrams(tx.index_tokens(F.col("text")))
-    return docs.select("doc_id", F.posexplode(runs).alias("pos", "term"))
+    listed = docs.select("doc_id", tx.index_tokens(F.col("text")).alias("tokens"))
+    return unnest(listed, tx.word_ngrams(F.col("tokens")), "term", "pos").select("doc_id", "pos", "term")
 
 
 @entry
@@ -142,15 +143,14 @@ def term_counts(spark, sf_dir):
     docs = inputs.documents(spark, sf_dir)
     terms = _terms(docs)
     vocab = ss.fit_vocabulary(docs, terms)
-    counts = ps.with_vocabulary(ps.term_counts(docs, terms), vocab.select("term"), ps.VOCABULARY_SIZE)
-    return counts.select("doc_id", "term", "tf")
+    return ps.term_counts(docs, terms, within=vocab.select("term")).select("doc_id", "term", "tf")
 
 
 @entry
 def build_postings(spark, sf_dir):
     """Full-text postings with document lengths, as an index stores them."""
     docs = inputs.documents(spark, sf_dir)
-    return ps.term_counts(docs, tx.fulltext_tokens, length="dl").select("doc_id", "term", "tf", "dl")
+    return ps.term_counts(docs, ps.FULLTEXT, length="dl").select("doc_id", "term", "tf", "dl")
 
 
 # ---------------------------------------------------------------- weights and vectors
@@ -168,7 +168,7 @@ def tfidf_weights(spark, sf_dir):
     docs = inputs.documents(spark, sf_dir)
     terms = _terms(docs)
     vocab = ss.fit_vocabulary(docs, terms)
-    weights = ps.tfidf_weights(ps.term_counts(docs, terms), vocab, ps.VOCABULARY_SIZE)
+    weights = ps.tfidf_weights(docs, terms, vocab)
     return weights.select("doc_id", "term", "tf", _r("w").alias("w"))
 
 
@@ -241,7 +241,7 @@ def fuzzy_search(spark, sf_dir):
 def fuzzy_expand_(spark, sf_dir):
     docs = inputs.documents(spark, sf_dir)
     vocab = ss.fulltext_vocabulary(docs)
-    terms = ps.term_counts(_misspelt_queries(spark, sf_dir), tx.fulltext_tokens, "query_id")
+    terms = ps.term_counts(_misspelt_queries(spark, sf_dir), ps.FULLTEXT, "query_id")
     known = vocab.select(F.col("term").alias("word"), F.col("tf_total").alias("count"))
     found = fuzzy_expand(terms.select(F.col("term").alias("word")).distinct(), known, metric="levenshtein")
     return found.select("term", "match", "edits", "count")
@@ -308,8 +308,8 @@ def _dictionary(spark, sf_dir):
 
 @entry
 def correct_word(spark, sf_dir):
-    words = _misspelt_queries(spark, sf_dir).select(F.explode(tx.whitespace_tokens(F.col("text"))).alias("word"))
-    return correct_words(words.distinct(), _dictionary(spark, sf_dir), metric="levenshtein")
+    words = unnest(_misspelt_queries(spark, sf_dir), tx.whitespace_tokens(F.col("text")), "word")
+    return correct_words(words.select("word").distinct(), _dictionary(spark, sf_dir), metric="levenshtein")
 
 
 @entry

@@ -13,6 +13,7 @@ from textlens.operators import postings as ps
 from textlens.operators.cluster import mean_vectors
 from textlens.operators.graph import distinct_entities
 from textlens.operators.ordering import dense_index
+from textlens.operators.rows import unnest
 from textlens.session import cut
 
 DIMENSION = 64
@@ -53,8 +54,8 @@ def centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of the documents as ``(doc_id, pos, text, label)``."""
-    lines = F.posexplode(F.split("text", "\n")).alias("pos", "text")
-    return documents(spark, sf_dir).select("doc_id", "label", lines)
+    docs = documents(spark, sf_dir).withColumnRenamed("text", "_text")
+    return unnest(docs, F.split("_text", "\n"), "text", "pos").drop("_text")
 
 
 def numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +72,7 @@ def entities(lines: DataFrame) -> DataFrame:
     hash of the stem.
     """
     stored_lines = lines.count()
-    words = ps.term_counts(lines, lambda t: F.filter(index_tokens(t), lambda w: F.length(w) >= NAME_LENGTH), "seq")
+    words = ps.term_counts(lines, ps.Terms(lambda t: F.filter(index_tokens(t), lambda w: F.length(w) >= NAME_LENGTH)), "seq")
     support = words.groupBy("term").agg(F.count("*").alias("df"))
     low, high = 0.05 * stored_lines**0.5, 0.1 * stored_lines**0.5
     medium = support.where((F.col("df") >= max(low, 2)) & (F.col("df") <= high))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from textlens.functions.text import couplet_parts, strip
 from textlens.operators.ordering import CHUNK_ROWS, carry_forward, previous_row
+from textlens.operators.rows import unnest
 
 # Labels of the book's front matter, the prefix of story labels, and the mark
 # between the halves of a couplet.
@@ -43,7 +44,7 @@ def flat_segments(
     inline = "|".join(inline_tags)
     plain = F.regexp_replace(html, rf"</?({inline})/?>", "") if inline_tags else F.col(html)
     found = F.regexp_extract_all(plain, F.lit(rf"<(?:{heading_tag}|{body_tag})>[^<]*"), 0)
-    rows = pages.select(key, F.posexplode(found).alias("pos", "_element"))
+    rows = unnest(pages.select(key, html), found, "_element", "pos")
     return rows.select(
         key,
         "pos",

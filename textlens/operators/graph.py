@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from textlens.operators.joins import BROADCAST_ROWS, measured_join, salted_join, top_per_key
 from textlens.operators.ordering import dense_index
+from textlens.operators.rows import unnest
 from textlens.session import cut, cut_counted
 
 # Damping, PageRank rounds for an error below 1e-8 (0.9^175), HITS rounds.
@@ -53,13 +54,14 @@ def _name_matches(docs: DataFrame, names: DataFrame, key: str, text: Column) ->
     the lengths in use are cut from each distinct word once and equi-joined with the names.
     """
     lengths = [r["n"] for r in names.select(F.length("name").alias("n")).distinct().collect()]
-    words = docs.select(key, F.explode(F.array_distinct(F.regexp_extract_all(text, F.lit(_RUN), 0))).alias("_word"))
+    runs = F.array_distinct(F.regexp_extract_all(text, F.lit(_RUN), 0))
+    words = unnest(docs, runs, "_word").select(key, "_word")
     if not lengths:
         return words.where("false").select(key, F.lit(0).cast("long").alias("entity_id"))
     pieces = F.array_distinct(F.flatten(F.array(*[_pieces(F.col("_word"), n) for n in sorted(lengths)])))
     shortest = min(lengths)
     distinct = words.where(F.length("_word") >= shortest).select("_word").distinct()
-    cuts = distinct.select("_word", F.explode(pieces).alias("name"))
+    cuts = unnest(distinct, pieces, "name")
     matched = measured_join(cuts, names, ["name"]).select("_word", "entity_id").distinct()
     # array_distinct keeps one copy per text and word, but two words may hold the same entity
     return measured_join(words, matched, ["_word"]).select(key, "entity_id").distinct()
@@ -72,7 +74,7 @@ def _pattern_matches(docs: DataFrame, patterns: list[tuple[int, str]], key: str,
         chunk = patterns[start : start + PATTERN_CHUNK]
         tests.append(F.array(*[F.when(text.rlike(regex), F.lit(number).cast("long")) for number, regex in chunk]))
     found = F.array_compact(F.flatten(F.array(*tests)))
-    return docs.select(key, F.explode(found).alias("entity_id"))
+    return unnest(docs, found, "entity_id").select(key, "entity_id")
 
 
 def entity_mentions(docs: DataFrame, entities: DataFrame, key: str = "seq", text: Column | None = None) -> DataFrame:

@@ -7,43 +7,69 @@ Documents are shuffled once, by id, as raw text. Every later step that works per
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textlens.functions import text as tx
+from textlens.operators.rows import unnest
 
 # Fixed value: number of vocabulary terms kept.
 VOCABULARY_SIZE = 10_000
 
-# A vocabulary of at most this many terms is broadcast by its limit alone.
-BROADCAST_TERMS = 200_000
+# Vocabularies beyond this many terms are refused: their terms are broadcast.
+LARGEST_VOCABULARY = 1_000_000
 
 
-def index_terms(stop_words: Column | Sequence[str] = (), low: int = 1, high: int = 2) -> Callable[[Column], Column]:
-    """Text to n-grams of the vectoriser: tokens, stop words removed, then runs of tokens."""
-    keep_all = not isinstance(stop_words, Column) and not stop_words
+@dataclass(frozen=True)
+class Terms:
+    """How a text becomes terms: ``tokens`` of the text, then ``runs`` of the tokens.
+
+    The two are computed as columns of their own, so several uses of the tokens share one
+    evaluation.
+    """
+
+    tokens: Callable[[Column], Column] = tx.index_tokens
+    runs: Callable[[Column], Column] | None = None
 
-    def terms(text: Column) -> Column:
-        tokens = tx.index_tokens(text)
-        return tx.word_ngrams(tokens if keep_all else tx.drop_stop_words(tokens, stop_words), low, high)
 
-    return terms
+def index_terms(stop_words: Sequence[str] = (), low: int = 1, high: int = 2) -> Terms:
+    """Terms of the vectoriser: tokens, stop words removed, then runs of ``low``..``high`` tokens."""
+    return Terms(
+        lambda text: tx.drop_stop_words(tx.index_tokens(text), stop_words),
+        lambda tokens: tx.word_ngrams(tokens, low, high),
+    )
+
+
+FULLTEXT = Terms(tx.fulltext_tokens)
 
 
 def term_counts(
     docs: DataFrame,
-    terms: Callable[[Column], Column],
+    terms: Terms,
     key: str = "doc_id",
     text: str = "text",
     length: str | None = None,
+    within: DataFrame | None = None,
 ) -> DataFrame:
-    """``(key, term, tf)`` of all terms (T10); ``length`` names a column for the number of tokens."""
+    """``(key, term, tf)`` of all terms (T10); ``length`` names a column for the number of tokens.
+
+    ``within`` is a capped vocabulary ``(term, ...)``: its terms only, with its other columns. It
+    is applied before counting, so most rows never reach the aggregation.
+    """
     spread = docs.select(key, text).repartition(key)
-    tokens = spread.select(key, terms(F.col(text)).alias("_terms"))
-    carried = [F.size("_terms").cast("long").alias(length)] if length else []
-    exploded = tokens.select(key, *carried, F.explode("_terms").alias("term"))
-    return exploded.groupBy(key, *([length] if length else []), "term").agg(F.count("*").alias("tf"))
+    listed = spread.select(key, terms.tokens(F.col(text)).alias("_tokens"))
+    kept = [key]
+    if length:
+        listed = listed.withColumn(length, F.size("_tokens").cast("long"))
+        kept.append(length)
+    runs = F.col("_tokens") if terms.runs is None else terms.runs(F.col("_tokens"))
+    rows = unnest(listed, runs, "term")
+    if within is not None:
+        rows = rows.join(F.broadcast(within), "term")
+        kept.extend(c for c in within.columns if c != "term")
+    return rows.groupBy(*kept, "term").agg(F.count("*").alias("tf"))
 
 
 def vocabulary(counts: DataFrame, size: int | None = VOCABULARY_SIZE) -> DataFrame:
@@ -52,14 +78,16 @@ def vocabulary(counts: DataFrame, size: int | None = VOCABULARY_SIZE) -> DataFra
     Ties go to the smaller term. Counts per document make the input of this step, so a frequent
     word reaches its reducer as one partial sum per task.
     """
+    if size is not None and not 0 < size <= LARGEST_VOCABULARY:
+        raise ValueError(f"vocabulary size must lie between 1 and {LARGEST_VOCABULARY}")
     totals = counts.groupBy("term").agg(F.sum("tf").alias("tf_total"), F.count("*").alias("df"))
     return totals if size is None else totals.orderBy(F.desc("tf_total"), "term").limit(size)
 
 
 def top_terms(docs: DataFrame, n: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The ``n`` tokens found in most documents: a stop-word list drawn from the corpus."""
-    counts = term_counts(docs, tx.index_tokens, key, text)
-    frequencies = counts.groupBy("term").agg(F.count("*").alias("df"))
+    words = unnest(docs.select(key, text).repartition(key), F.array_distinct(tx.index_tokens(F.col(text))), "term")
+    frequencies = words.groupBy("term").agg(F.count("*").alias("df"))
     return frequencies.orderBy(F.desc("df"), "term").limit(n)
 
 
@@ -73,25 +101,23 @@ def smoothed_idf(vocab: DataFrame, documents: Column) -> DataFrame:
     return vocab.withColumn("idf", F.log((1 + documents) / (1 + F.col("df"))) + 1)
 
 
-def with_vocabulary(counts: DataFrame, vocab: DataFrame, size: int | None) -> DataFrame:
-    """Join counts with the vocabulary; only one capped by ``size`` is broadcast."""
-    small = size is not None and size <= BROADCAST_TERMS
-    return counts.join(F.broadcast(vocab) if small else vocab, "term")
-
-
-def tfidf_weights(counts: DataFrame, vocab_idf: DataFrame, size: int | None, key: str = "doc_id") -> DataFrame:
+def tfidf_weights(
+    docs: DataFrame, terms: Terms, vocab_idf: DataFrame, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
     """``(key, term, tf, w)`` with sublinear tf times idf, unit length per document."""
-    joined = with_vocabulary(counts, vocab_idf.select("term", "idf"), size)
-    raw = joined.select(key, "term", "tf", ((1 + F.log("tf")) * F.col("idf")).alias("_raw"))
+    counts = term_counts(docs, terms, key, text, within=vocab_idf.select("term", "idf"))
+    raw = counts.select(key, "term", "tf", ((1 + F.log("tf")) * F.col("idf")).alias("_raw"))
     length = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(Window.partitionBy(key)))
     return raw.withColumn("w", F.col("_raw") / length).drop("_raw")
 
 
-def boolean_weights(counts: DataFrame, vocab: DataFrame, size: int | None, key: str = "doc_id") -> DataFrame:
+def boolean_weights(
+    docs: DataFrame, terms: Terms, vocab: DataFrame, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
     """``(key, term, tf, w)`` of the 0/1 vector, unit length per document."""
-    joined = with_vocabulary(counts, vocab.select("term"), size)
-    terms = F.count("*").over(Window.partitionBy(key))
-    return joined.select(key, "term", "tf", (1 / F.sqrt(terms)).alias("w"))
+    counts = term_counts(docs, terms, key, text, within=vocab.select("term"))
+    terms_found = F.count("*").over(Window.partitionBy(key))
+    return counts.select(key, "term", "tf", (1 / F.sqrt(terms_found)).alias("w"))
 
 
 def bm25_weights(counts: DataFrame, mean_length: float, k1: float = 1.2, b: float = 0.75) -> DataFrame:
@@ -111,4 +137,4 @@ def bm25_idf(df: Column, documents: Column) -> Column:
 def word_counts(rows: DataFrame, texts: Sequence[str] = ("half1", "half2")) -> DataFrame:
     """``(word, count)`` of the whitespace tokens of the given columns."""
     tokens = F.flatten(F.array(*[F.coalesce(tx.whitespace_tokens(F.col(c)), F.array()) for c in texts]))
-    return rows.select(F.explode(tokens).alias("word")).groupBy("word").agg(F.count("*").alias("count"))
+    return unnest(rows.select(*texts), tokens, "word").groupBy("word").agg(F.count("*").alias("count"))

@@ -11,10 +11,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textlens.functions import text as tx
 from textlens.operators import postings as ps
 from textlens.operators.fuzzy import fuzzy_expand
 from textlens.operators.joins import BROADCAST_ROWS, measured_join, top_per_key
@@ -56,9 +55,9 @@ def score_topk(
 
 
 def fit_vocabulary(
-    docs: DataFrame, terms: Callable[[Column], Column], size: int | None = ps.VOCABULARY_SIZE, key: str = "doc_id"
+    docs: DataFrame, terms: ps.Terms, size: int = ps.VOCABULARY_SIZE, key: str = "doc_id"
 ) -> DataFrame:
-    """Stored vocabulary ``(term, tf_total, df, idf)`` of a corpus."""
+    """Stored vocabulary ``(term, tf_total, df, idf)`` of a corpus, at most ``size`` terms."""
     counts = ps.term_counts(docs, terms, key)
     return cut(ps.smoothed_idf(ps.vocabulary(counts, size), ps.document_count(docs)))
 
@@ -67,9 +66,8 @@ def cosine_search(
     queries: DataFrame,
     docs: DataFrame,
     vocab: DataFrame,
-    terms: Callable[[Column], Column],
+    terms: ps.Terms,
     weigh: Callable[..., DataFrame] = ps.tfidf_weights,
-    size: int | None = ps.VOCABULARY_SIZE,
     k: int = VECTOR_LIMIT,
     digits: int = SCORE_DIGITS,
     key: str = "doc_id",
@@ -79,26 +77,27 @@ def cosine_search(
     ``weigh`` is :func:`~textlens.operators.postings.tfidf_weights` (Q3) or
     :func:`~textlens.operators.postings.boolean_weights` (Q4).
     """
-    wanted = weigh(ps.term_counts(queries, terms, "query_id"), vocab, size, key="query_id")
-    documents = weigh(ps.term_counts(docs, terms, key), vocab, size, key=key)
-    return score_topk(documents, wanted, k, digits, key)
+    wanted = weigh(queries, terms, vocab, "query_id")
+    return score_topk(weigh(docs, terms, vocab, key), wanted, k, digits, key)
 
 
-def tfidf_search(queries: DataFrame, docs: DataFrame, terms: Callable[[Column], Column], **options) -> DataFrame:
+def tfidf_search(
+    queries: DataFrame, docs: DataFrame, terms: ps.Terms, size: int = ps.VOCABULARY_SIZE, **options
+) -> DataFrame:
     """tf-idf search, vocabulary fitted on ``docs``."""
-    size = options.get("size", ps.VOCABULARY_SIZE)
     return cosine_search(queries, docs, fit_vocabulary(docs, terms, size), terms, ps.tfidf_weights, **options)
 
 
-def boolean_search(queries: DataFrame, docs: DataFrame, terms: Callable[[Column], Column], **options) -> DataFrame:
+def boolean_search(
+    queries: DataFrame, docs: DataFrame, terms: ps.Terms, size: int = ps.VOCABULARY_SIZE, **options
+) -> DataFrame:
     """Search by 0/1 vectors, vocabulary fitted on ``docs``."""
-    size = options.get("size", ps.VOCABULARY_SIZE)
     return cosine_search(queries, docs, fit_vocabulary(docs, terms, size), terms, ps.boolean_weights, **options)
 
 
 def fulltext_vocabulary(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Stored ``(term, tf_total, df)`` of all full-text words."""
-    return cut(ps.vocabulary(ps.term_counts(docs, tx.fulltext_tokens, key, text), None))
+    return cut(ps.vocabulary(ps.term_counts(docs, ps.FULLTEXT, key, text), None))
 
 
 def fulltext_search(
@@ -118,9 +117,9 @@ def fulltext_search(
     vocab = fulltext_vocabulary(docs, key) if vocab is None else vocab
     documents = docs.count()
     tokens = vocab.agg(F.sum("tf_total")).first()[0] or 0
-    words = ps.term_counts(queries, tx.fulltext_tokens, "query_id").withColumnRenamed("term", "word")
+    words = ps.term_counts(queries, ps.FULLTEXT, "query_id").withColumnRenamed("term", "word")
     words = cut(words.withColumnRenamed("tf", "n"))
-    counts = ps.term_counts(docs, tx.fulltext_tokens, key, length="dl")
+    counts = ps.term_counts(docs, ps.FULLTEXT, key, length="dl")
     weights = ps.bm25_weights(counts, tokens / max(documents, 1))
     if fuzzy:
         known = vocab.select(F.col("term").alias("word"), F.col("tf_total").alias("count"), "df")
