@@ -1,4 +1,4 @@
-"""Run registered queries against their SQL: ``python tools_check.py SF [key ...]``."""
+"""Run registered queries against their SQL: ``python -m tests.compare_sql SF [key ...]``."""
 
 from __future__ import annotations
 

@@ -22,6 +22,8 @@ from textlens.operators.fuzzy import fuzzy_expand
 from textlens.operators.joins import measured_join
 from textlens.operators.ordering import dense_index
 from textlens.operators.rows import unnest
+from textlens.plans.index import build_index
+from textlens.plans.retrieve import answer_queries
 from textlens.session import cut, scratch_path
 from textlens.sources.vectors import read_word_vectors, write_word_vectors
 from textlens.streaming.arrivals import answer_arrivals
@@ -415,7 +417,7 @@ def classify_fit(spark, sf_dir):
 @entry
 def classify_predict(spark, sf_dir):
     """Quality of every document, predicted from its text by a classifier fitted on the labelled ones."""
-    docs = inputs.documents(spark, sf_dir).select("doc_id", "text")
+    docs = inputs.documents(spark, sf_dir).select("doc_id", "text").repartition("doc_id")
     labels = inputs.table(spark, sf_dir, "labels")
     labelled = docs.join(labels.select("doc_id", F.col("quality").cast("string").alias("label")), "doc_id")
     index = _label_index(labelled)
@@ -454,9 +456,10 @@ def _lines_and_entities(spark, sf_dir):
 def _named(rows, entities, pairs):
     """Replace entity ids by their regex text: ``pairs`` maps id column to new column."""
     names = entities.select("entity_id", "regex")
+    known = names.count()
     for column, name in pairs.items():
         renamed = names.select(F.col("entity_id").alias(column), F.col("regex").alias(name))
-        rows = measured_join(rows, renamed, [column]).drop(column)
+        rows = measured_join(rows, renamed, [column], rows=known).drop(column)
     return rows
 
 
@@ -570,6 +573,25 @@ def retrieve(spark, sf_dir):
     return flat.select("query_id", "method", "_h.rank", "_h.doc_id", "_h.label", "_h.score")
 
 
+@entry
+def retrieve_response(spark, sf_dir):
+    """Whole response per query, as one nested row, from an index built on the documents."""
+    docs, queries = inputs.documents(spark, sf_dir), inputs.queries(spark, sf_dir)
+    lines, entities = _lines_and_entities(spark, sf_dir)
+    index = build_index(
+        spark,
+        scratch_path(spark, "index"),
+        docs,
+        mentions_in=lines,
+        entities=entities,
+        word_vectors=inputs.word_vectors,
+        dimension=inputs.WORD_DIMENSION,
+        stop_words=_stop_words(docs),
+        rounds=GRAPH_ROUNDS,
+    )
+    return answer_queries(index, queries)
+
+
 @entry
 def score_query_stream(spark, sf_dir):
     """Benchmark texts arriving as a file stream, each batch answered by tf-idf search."""

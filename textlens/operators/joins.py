@@ -22,15 +22,17 @@ def measured_join(
     keys: Sequence[str],
     how: str = "inner",
     limit_rows: int = BROADCAST_ROWS,
+    rows: int | None = None,
 ) -> DataFrame:
     """Join ``large`` with a side that is expected, but not known, to be small.
 
-    ``small`` is stored and counted. Within ``limit_rows`` it is broadcast; beyond, both sides
+    ``small`` is stored and counted, unless it is stored already and the caller counted its
+    ``rows``. Within ``limit_rows`` it is broadcast; beyond, both sides
     shuffle on the keys and a salt, so one hot key of ``large`` is worked on by many tasks.
     ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``: each row of ``large`` meets
     exactly one copy of its partners, so all four stay exact.
     """
-    stored, rows = cut_counted(small)
+    stored, rows = cut_counted(small) if rows is None else (small, rows)
     if rows <= limit_rows:
         return large.join(F.broadcast(stored), list(keys), how)
     return salted_join(large, stored, keys, how)

@@ -109,17 +109,20 @@ def fulltext_search(
     digits: int = SCORE_DIGITS,
     key: str = "doc_id",
     vocab: DataFrame | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """BM25 over any query word, each expanded to similar index words when ``fuzzy`` (Q11).
 
     A word's expansions share the idf of the most frequent of them and are weighted by closeness.
+    ``vocab`` and ``counts`` are taken from an index if there is one.
     """
     vocab = fulltext_vocabulary(docs, key) if vocab is None else vocab
     documents = docs.count()
     tokens = vocab.agg(F.sum("tf_total")).first()[0] or 0
     words = ps.term_counts(queries, ps.FULLTEXT, "query_id").withColumnRenamed("term", "word")
     words = cut(words.withColumnRenamed("tf", "n"))
-    counts = ps.term_counts(docs, ps.FULLTEXT, key, length="dl")
+    if counts is None:
+        counts = ps.term_counts(docs, ps.FULLTEXT, key, length="dl")
     weights = ps.bm25_weights(counts, tokens / max(documents, 1))
     if fuzzy:
         known = vocab.select(F.col("term").alias("word"), F.col("tf_total").alias("count"), "df")
