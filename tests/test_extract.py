@@ -36,7 +36,7 @@ def test_carry_and_previous_equal_a_loop(spark, chunk):
         before[g] = p
     carried = carry_forward(frame, ["g"], "p", frame["v"], "c", chunk).na.fill("", ["c"])
     assert rows(carried, "g", "p", "c") == sorted(expected_carry)
-    paired = previous_row(frame, ["g"], "p", ["p"], "b", chunk).selectExpr("g", "p", "coalesce(b.p, -1)")
+    paired = previous_row(frame, ["g"], "p", ["p"], "b", chunk).selectExpr("g", "p", "coalesce(b.p, -1) AS before")
     assert rows(paired) == sorted(expected_before)
 
 

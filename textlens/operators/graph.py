@@ -188,6 +188,9 @@ def pagerank(
     sinks, dangling = cut_counted(table.where("degree is null").select("node"))
     values = table.select("node", F.lit(1.0 / n).alias("value"))
     before = values
+    if dangling:
+        # the lost rank is read next to the join, so an unstored round would be planned twice
+        stride = 1
     for number in range(1, rounds + 1):
         base = F.lit((1 - damping) / n)
         if dangling:
