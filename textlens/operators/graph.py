@@ -20,6 +20,9 @@ HITS_ROUNDS = 1000
 # Rounds computed in one job before the ranks are stored.
 STRIDE = 5
 
+# An edge table of this size is less work for one task than an exchange per round is for many.
+SMALL_EDGES = 200_000
+
 # Patterns tested per generated expression.
 PATTERN_CHUNK = 100
 
@@ -150,6 +153,12 @@ def _ends(edges: DataFrame) -> DataFrame:
     return edges.select(F.explode(F.array("src", "dst")).alias("node"))
 
 
+def _stored_edges(edges: DataFrame) -> DataFrame:
+    """Stored edges; a table of at most ``SMALL_EDGES`` rows stays in one task, so rounds need no exchange."""
+    stored, rows = cut_counted(edges)
+    return stored.coalesce(1) if rows <= SMALL_EDGES else stored
+
+
 def _spread(edges: DataFrame, values: DataFrame, nodes: int) -> DataFrame:
     """``(node, value)``: sum over in-edges of the source's value times the edge weight.
 
@@ -184,7 +193,7 @@ def pagerank(
     weighted = edges.join(degrees.select(F.col("node").alias("src"), (1 / F.col("degree")).alias("weight")), "src")
     # an edge of weight 0 to itself keeps a node without in-edges in every round
     anchors = table.select(F.col("node").alias("src"), F.col("node").alias("dst"), F.lit(0.0).alias("weight"))
-    stored = cut(weighted.select("src", "dst", "weight").unionByName(anchors))
+    stored = _stored_edges(weighted.select("src", "dst", "weight").unionByName(anchors))
     sinks, dangling = cut_counted(table.where("degree is null").select("node"))
     values = table.select("node", F.lit(1.0 / n).alias("value"))
     before = values
@@ -222,7 +231,7 @@ def hits(
     if n == 0:
         return table.select("node", F.lit(0.0).alias("hubs"), F.lit(0.0).alias("authorities"))
     anchors = table.select(F.col("node").alias("src"), F.col("node").alias("dst"), F.lit(0.0).alias("weight"))
-    forward = cut(edges.select("src", "dst", F.lit(1.0).alias("weight")).unionByName(anchors))
+    forward = _stored_edges(edges.select("src", "dst", F.lit(1.0).alias("weight")).unionByName(anchors))
     backward = forward.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
     hubs = table.select("node", F.lit(1.0 / n).alias("value"))
     before, done = hubs, 0
