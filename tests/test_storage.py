@@ -120,6 +120,13 @@ def test_stream_gives_the_batch_answers_once(spark, tmp_path):
     assert run().select(F.countDistinct("batch_id")).first()[0] >= 3
 
 
+def test_stream_without_arrivals(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    arrivals = spark.readStream.schema("query_id long, text string").parquet(str(tmp_path / "in"))
+    out = answer_arrivals(arrivals, lambda batch: batch.select("query_id"), str(tmp_path / "out"), str(tmp_path / "cp"))
+    assert out.columns == ["query_id", "batch_id"] and out.count() == 0
+
+
 @pytest.mark.parametrize("word", ["localCheckpoint", "crossJoin", "collectAsList"])
 def test_library_avoids(word):
     import pathlib

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textlens.session import scratch_path
+from textlens.sources.store import path_exists
 
 
 def answer_arrivals(
@@ -33,4 +34,7 @@ def answer_arrivals(
     writer = arrivals.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     stream = writer.trigger(availableNow=True).start()
     stream.awaitTermination(timeout)
+    if not path_exists(spark, out):
+        nothing = answer(spark.createDataFrame([], arrivals.schema))
+        return nothing.withColumn("batch_id", F.lit(None).cast("long"))
     return spark.read.option("basePath", out).parquet(out).withColumn("batch_id", F.col("batch_id").cast("long"))
