@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import zlib
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textlens.llm import licenses, mixing, units
+from textlens.llm import licenses, mixing, packing, token_files, units
+from textlens.session import scratch_path
 
 ENTRIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -50,6 +53,26 @@ SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT
 FROM judged GROUP BY doc_id"""
 
 
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def crc32_of_ids(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        yield batch.assign(ids_crc32=batch["ids"].map(zlib.crc32).astype("int64")).drop(columns="ids")
+
+
+@entry
+def op2_histogram_packing(spark, sf_dir):
+    """All documents in sequences of 1,024 tokens, one row per piece."""
+    pieces = packing.pack_documents(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
+    schema = "doc_id long, start long, length long, doc_tokens long, sequence_id long, place int, ids_crc32 long"
+    placed = packing.offsets(pieces.mapInPandas(crc32_of_ids, schema))
+    return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 @entry
 def op3_poisson_mixing(spark, sf_dir):
     """All documents mixed, the share of a source going with its number of documents to the power 0.7."""
@@ -85,6 +108,14 @@ def op8_license_scan(spark, sf_dir):
     return licenses.license_scan(_table(spark, sf_dir, "documents"))
 
 
+@entry
+def op9_token_orc(spark, sf_dir):
+    """Token ids of all documents written as ORC and read back."""
+    path = scratch_path(spark, "token-ids")
+    token_files.write_token_ids(_table(spark, sf_dir, "documents"), path, _tokenizer("word_bpe_49k.json"))
+    return token_files.token_places(token_files.read_token_ids(spark, path))
+
+
 def _license_sql() -> str:
     found = " || ".join(
         f"CASE WHEN regexp_matches(s, {_quoted(p)}) THEN '<{i}>' ELSE '' END" for i, p in licenses.SENTENCES
