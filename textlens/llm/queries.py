@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textlens.llm import licenses, mixing, packing, token_files, units
+from textlens.llm import collision_search, inner_products, language, licenses, mixing, packing, token_files, units
 from textlens.session import scratch_path
 
 ENTRIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,6 +102,30 @@ mixed AS (
 ORACLES["op3_poisson_mixing"] = "WITH " + poisson_sql("documents", "doc_id, text, lang, source, n_chars") + " SELECT * FROM mixed"
 
 
+LANGUAGES = ("de", "en", "es", "fr")
+
+
+@entry
+def op4_language_id(spark, sf_dir):
+    """Language of all documents and all pages; the text model is fitted on labelled documents."""
+    docs = _table(spark, sf_dir, "documents")
+    table = language.fit_trigrams(docs, LANGUAGES)
+    texts = language.document_rows(docs).select("doc_id", F.lit(None).cast("long").alias("page_id"), "text", *CONTEXT)
+    pages = language.page_rows(_table(spark, sf_dir, "pages"))
+    pages = pages.select(F.lit(None).cast("long").alias("doc_id"), "page_id", "text", *CONTEXT)
+    found = language.identify_languages(texts.unionByName(pages), table, LANGUAGES)
+    return found.select("doc_id", "page_id", "declared", "host", "language", "confidence", "accepted")
+
+
+CONTEXT = ("declared", "host", "domain", "suffix")
+
+
+@entry
+def op5_inner_products(spark, sf_dir):
+    """Ten largest integer inner products of every hundredth vector."""
+    return inner_products.top_inner_products(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @entry
 def op8_license_scan(spark, sf_dir):
     """Licences of all documents."""
@@ -116,6 +140,12 @@ def op9_token_orc(spark, sf_dir):
     return token_files.token_places(token_files.read_token_ids(spark, path))
 
 
+@entry
+def op10_collision_search(spark, sf_dir):
+    """Twenty nearest vectors of every twentieth vector, by counted collisions."""
+    return collision_search.nearest_by_collisions(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def _license_sql() -> str:
     found = " || ".join(
         f"CASE WHEN regexp_matches(s, {_quoted(p)}) THEN '<{i}>' ELSE '' END" for i, p in licenses.SENTENCES
@@ -143,4 +173,13 @@ SELECT *, CASE WHEN sentence_ids = '' THEN 'none'
 FROM split"""
 
 
+ORACLES["op5_inner_products"] = """WITH cells AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM cells q JOIN cells c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs) WHERE rank <= 10"""
+
 ORACLES["op8_license_scan"] = _license_sql()
