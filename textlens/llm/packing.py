@@ -13,7 +13,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -152,7 +151,7 @@ def _cut_up(path: str, end_id: int, window: int, grain: int, key: str):
                     numbers[bin_] = number = numbers.get(bin_, -1) + 1
                     rows.append((row, start, length, total, ids[4 * start : 4 * (start + length)], bin_, number))
                     size += length
-                if size and (size > 2_000_000 or row + 1 == batch.num_rows):
+                if size and (size > 500_000 or row + 1 == batch.num_rows):
                     at, starts, lengths, totals, blobs, bins, places = zip(*rows)
                     columns = [batch.column(0).take(pa.array(at)), pa.array(starts), pa.array(lengths), pa.array(totals)]
                     columns += [pa.array(blobs, pa.binary()), pa.array([part] * len(at), pa.int32()), pa.array(bins, pa.int32())]
@@ -173,18 +172,19 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, window: int, grai
     return docs.sparkSession.read.schema(pieces.schema).parquet(path)
 
 
-def _placer(slots, key: str):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _placer(slots):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bins, number = batch["bin"].to_numpy(), batch["number"].to_numpy()
-            sequence, place = np.zeros(len(batch), np.int64), np.zeros(len(batch), np.int32)
+            bins, number = batch.column("bin").to_numpy(), batch.column("number").to_numpy()
+            sequence, place = np.zeros(len(bins), np.int64), np.zeros(len(bins), np.int32)
             for size in np.unique(bins):
                 at = np.flatnonzero(bins == size)
                 begins, firsts, places = slots[size]
                 run_ = np.searchsorted(begins, number[at], side="right") - 1
                 sequence[at] = firsts[run_] + number[at] - begins[run_]
                 place[at] = places[run_]
-            yield batch[[key, "start", "length", "doc_tokens", "ids"]].assign(sequence_id=sequence, place=place)
+            columns = [*batch.columns[:-2], pa.array(sequence), pa.array(place)]
+            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-2], "sequence_id", "place"])
 
     return run
 
@@ -231,7 +231,7 @@ def pack_documents(
     kind = docs.schema[key].dataType.simpleString()
     schema = f"{key} {kind}, start long, length long, doc_tokens long, ids binary, sequence_id long, place int"
     number = (F.col("number") + F.col("before")[F.col("bin")]).alias("number")
-    return met.select(key, "start", "length", "doc_tokens", "ids", "bin", number).mapInPandas(_placer(slots, key), schema)
+    return met.select(key, "start", "length", "doc_tokens", "ids", "bin", number).mapInArrow(_placer(slots), schema)
 
 
 def offsets(pieces: DataFrame) -> DataFrame:

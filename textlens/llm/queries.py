@@ -5,7 +5,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,9 +59,11 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def crc32_of_ids(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def crc32_of_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        yield batch.assign(ids_crc32=batch["ids"].map(zlib.crc32).astype("int64")).drop(columns="ids")
+        at = batch.schema.get_field_index("ids")
+        sums = pa.array([zlib.crc32(blob.as_buffer()) for blob in batch.column(at)], pa.int64())
+        yield batch.remove_column(at).append_column("ids_crc32", sums)
 
 
 @entry
@@ -69,7 +71,7 @@ def op2_histogram_packing(spark, sf_dir):
     """All documents in sequences of 1,024 tokens, one row per piece."""
     pieces = packing.pack_documents(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
     schema = "doc_id long, start long, length long, doc_tokens long, sequence_id long, place int, ids_crc32 long"
-    placed = packing.offsets(pieces.mapInPandas(crc32_of_ids, schema))
+    placed = packing.offsets(pieces.mapInArrow(crc32_of_ids, schema))
     return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 

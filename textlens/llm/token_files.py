@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textlens.llm.tokens import encoder
+from textlens.session import store
 
 # Ids in one Arrow batch on the way to the writer.
-BATCH_IDS = 2_000_000
+BATCH_IDS = 1_000_000
 
 
 def _id_lists(ids: list[bytes]) -> pa.ListArray:
@@ -92,7 +93,7 @@ def token_places(written: DataFrame, key: str = "doc_id") -> DataFrame:
     """
     kind = written.schema[key].dataType.simpleString()
     names = f"{key} {kind}, shard int, place long, n_tokens long, ids_crc32 long"
-    counted = written.select(key, "shard", "place", "ids").mapInArrow(_sums, names)
+    counted = store(written.select(key, "shard", "place", "ids").mapInArrow(_sums, names), "counts")
     inside = Window.partitionBy("shard").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     rows = counted.withColumn("start", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
     ends = rows.groupBy("shard").agg(F.max(F.col("start") + F.col("n_tokens")).alias("total"))

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textlens.operators.joins import measured_join
+
 SEPARATORS = {"line": "\n", "paragraph": "\n\n"}
 
 
@@ -54,7 +56,7 @@ def drop_repeated_units(
     columns are not looked at, and an empty table gives an empty one.
 
     Digests meet in two steps: first ranks are aggregated (partly before the shuffle), then the
-    digests that repeat are joined back, where adaptive execution splits a digest that fills a partition.
+    digests that repeat are stored, counted and joined back, broadcast while they are few and salted beyond.
     Texts move once, at the end.
     """
     separator = SEPARATORS[unit]
@@ -67,7 +69,7 @@ def drop_repeated_units(
     rank = F.struct(F.col("key").isNull().alias("last"), F.col("key").alias("key"), F.col("pos").alias("pos"))
     marked = units.where((F.col("unit") != "") & (words >= min_words)).select("key", "version", "pos", digest.alias("digest"))
     first = marked.groupBy("digest").agg(F.min(rank).alias("first"), F.max(rank).alias("final")).where("first != final")
-    later = marked.join(first.select("digest", "first"), "digest").where(rank != F.col("first"))
+    later = measured_join(marked, first.select("digest", "first"), ["digest"]).where(rank != F.col("first"))
     gone = later.groupBy(F.col("key").alias("at"), F.col("version").alias("of")).agg(F.collect_set("pos").alias("gone"))
     met = source.join(gone, source["key"].eqNullSafe(gone["at"]) & (source["version"] == gone["of"]), "left")
     schema = f"{key} {docs.schema[key].dataType.simpleString()}, text string, n_units int, n_removed int"
