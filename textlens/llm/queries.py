@@ -6,10 +6,11 @@ import zlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textlens.llm import collision_search, inner_products, language, licenses, mixing, packing, token_files, units
+from textlens.llm import collision_search, inner_products, language, licenses, mixing, packing, suffixes, token_files, units
 from textlens.session import scratch_path
 
 ENTRIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,6 +129,24 @@ def op5_inner_products(spark, sf_dir):
     return inner_products.top_inner_products(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def _removal_digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        at = batch.schema.get_field_index
+        first, last = batch.column(at("_starts")), batch.column(at("_ends"))
+        gone = [sum(b) - sum(a) for a, b in zip(first.to_pylist(), last.to_pylist())]
+        columns = [batch.column(at("doc_id")), batch.column(at("_n_bytes")), pa.array(gone, pa.int64())]
+        columns += [pa.compute.list_value_length(first).cast(pa.int64()), suffixes.digest(batch)]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+
+
+@entry
+def op7_suffix_dedup(spark, sf_dir):
+    """Strings of 50 bytes that start in an earlier document removed from all documents."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = suffixes.remove_earlier_strings(docs)
+    return kept.mapInArrow(_removal_digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+
+
 @entry
 def op8_license_scan(spark, sf_dir):
     """Licences of all documents."""
