@@ -65,8 +65,9 @@ def _to_batches(text: str):
             with pa.ipc.new_stream(sink, table.schema, options=options) as writer:
                 writer.write_table(table)
             number += 1
-            columns = [pa.array([part * (1 << 32) + number - 1]), pa.array([size]), pa.array([sink.getvalue().to_pybytes()], pa.binary())]
-            return pa.RecordBatch.from_arrays(columns, ["batch", "n_bytes", "rows"])
+            columns = [pa.array([part * (1 << 32) + number - 1]), pa.array([size]), pa.array([table.num_rows])]
+            columns.append(pa.array([sink.getvalue().to_pybytes()], pa.binary()))
+            return pa.RecordBatch.from_arrays(columns, ["batch", "n_bytes", "n_rows", "rows"])
 
         for batch in batches:
             lengths = pa.compute.binary_length(batch.column(batch.schema.get_field_index(text))).fill_null(0).to_numpy(zero_copy_only=False)
@@ -86,8 +87,8 @@ def _to_batches(text: str):
 
 
 def store_batches(docs: DataFrame, text: str) -> DataFrame:
-    """Stored ``(batch, n_bytes, rows)``: all columns of ``docs``, as compressed record batches."""
-    packed = docs.mapInArrow(_to_batches(text), "batch long, n_bytes long, rows binary")
+    """Stored ``(batch, n_bytes, n_rows, rows)``: all columns of ``docs``, as compressed record batches."""
+    packed = docs.mapInArrow(_to_batches(text), "batch long, n_bytes long, n_rows long, rows binary")
     path = scratch_path(docs.sparkSession, "batches")
     packed.write.option("compression", "uncompressed").parquet(path)
     return docs.sparkSession.read.schema(packed.schema).parquet(path)
@@ -160,7 +161,7 @@ def _answer(table: pa.Table) -> pa.Table:
 
 
 def count_keys(batches: DataFrame, extract: Callable, entries: float) -> DataFrame:
-    """``(batch, n_bytes, rows, answers)``: batches with the total counts of their hashed keys.
+    """``(batch, n_bytes, n_rows, rows, answers)``: batches with the total counts of their hashed keys.
 
     ``extract`` gives a batch's ascending distinct 64-bit hashes and the number of documents that
     hold each; ``entries`` estimates how many a whole run has. ``answers`` lists ``(bucket, answer)``; see :func:`answers_of`.

@@ -10,7 +10,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textlens.llm import collision_search, inner_products, language, licenses, mixing, packing, suffixes, token_files, units
+from textlens.llm import collision_search, inner_products, language, licenses, mixing, near, packing, suffixes, token_files, units
 from textlens.session import scratch_path
 
 ENTRIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,6 +129,12 @@ def op5_inner_products(spark, sf_dir):
     return inner_products.top_inner_products(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+@entry
+def op6_near_duplicates(spark, sf_dir):
+    """Class of near-duplicates of every document."""
+    return near.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def _removal_digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         at = batch.schema.get_field_index
