@@ -139,7 +139,7 @@ def top_inner_products(
     """
     spark = rows.sparkSession
     taken = vx.doubles(rows, key, vector, queries, lambda x: F.floor(F.lit(scale) * x).cast("double"))
-    facts = taken.agg(F.max(F.size("vec")).alias("dims"), F.count("*").alias("n")).first()
+    facts = taken.agg(F.max(F.size("vec")).alias("dims"), F.count("*").alias("n"), F.count_if("query").alias("queries")).first()
     if not facts["dims"]:
         if not facts["n"]:
             return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
@@ -152,7 +152,7 @@ def top_inner_products(
     # one block: at most block_rows vectors, or one Arrow batch more
     longest = candidates.orderBy(F.desc("longest"), "block").select("keys", "cells").limit(1).collect()
     top = [(bytes(r["keys"]), bytes(r["cells"])) for r in longest]
-    asked = vx.blocks(taken.where("query"), dims, query_rows)
+    asked = vx.blocks(vx.few_parts(taken.where("query"), facts["queries"], query_rows), dims, query_rows)
     schema = "block long, longest double, keys binary, cells binary, least binary, need double"
     barred = asked.mapInPandas(_thresholds(top, dims, turn, head, k), schema)
     ranks, count, marks = vx.ranked(candidates)

@@ -77,6 +77,11 @@ def blocks(rows: DataFrame, dims: int, size: int) -> DataFrame:
     return rows.sparkSession.read.schema(packed.schema).parquet(path)
 
 
+def few_parts(rows: DataFrame, count: int, size: int) -> DataFrame:
+    """Rows dealt out in turn to partitions of about ``size``."""
+    return rows.repartition(max(1, min(-(-count // size), 10_000)))
+
+
 def matrix_of(cells: bytes, dims: int) -> np.ndarray:
     return np.frombuffer(cells, dtype="<f8").reshape(-1, dims)
 
