@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from textlens.llm import vectors as vx
 
+# Share of the pairs of two blocks that is computed exactly without a closer bound.
+FEW_PAIRS = 0.001
+
 # Pairs whose exact product is taken at once.
 EXACT_PAIRS = 200_000
 
@@ -49,14 +52,26 @@ def exact_products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 def _pruned(query: np.ndarray, candidate: np.ndarray, turn: np.ndarray, least: np.ndarray, head: int):
-    """Pairs whose bound reaches the query's ``least``: by length, then by the partial sum and the rests' lengths."""
+    """Pairs whose bound reaches the query's ``least``: the product of lengths, then partial sums and the rests' lengths.
+
+    The sum grows by ``head`` rotated components at a time, strongest first; it ends when few pairs
+    are left, which need no further bound.
+    """
     rq, rc = query @ turn, candidate @ turn
-    lq, lc = np.sqrt((rq**2).sum(1)), np.sqrt((rc**2).sum(1))
-    slack = 1e-9 * (1.0 + np.outer(lq, lc))
-    bound = rq[:, :head] @ rc[:, :head].T
-    bound += np.outer(np.sqrt((rq[:, head:] ** 2).sum(1)), np.sqrt((rc[:, head:] ** 2).sum(1)))
-    # the product of the lengths is the bound before any component is looked at
-    return np.nonzero(np.minimum(bound, np.outer(lq, lc)) + slack >= least[:, None])
+    tails_q = np.sqrt(np.cumsum((rq**2)[:, ::-1], axis=1)[:, ::-1])
+    tails_c = np.sqrt(np.cumsum((rc**2)[:, ::-1], axis=1)[:, ::-1])
+    slack = 1e-9 * (1.0 + tails_q[:, 0] * tails_c[:, 0].max(initial=0.0))
+    bar = (least - slack)[:, None]
+    alive = np.outer(tails_q[:, 0], tails_c[:, 0]) >= bar
+    total = np.zeros(alive.shape)
+    for at in range(0, turn.shape[1], head):
+        if np.count_nonzero(alive) <= FEW_PAIRS * alive.size:
+            break
+        end = at + head
+        total += rq[:, at:end] @ rc[:, at:end].T
+        rest = np.outer(tails_q[:, end], tails_c[:, end]) if end < turn.shape[1] else 0.0
+        alive &= total + rest >= bar
+    return np.nonzero(alive)
 
 
 def _hits(query, query_keys, candidate, keys, turn, least, head, k):
@@ -134,8 +149,8 @@ def top_inner_products(
 
     Candidates are dealt to blocks in descending length. The longest block gives each query a bar, the score of its
     k-th best there. A candidate block meets the queries only while its longest vector can reach a bar; in it, the
-    product of lengths bounds a pair, then the sum over the ``head`` strongest rotated components plus the
-    product of the lengths of the rests. What is left is computed exactly.
+    product of lengths bounds a pair, then the sum over the strongest rotated components, ``head`` more at a
+    time, plus the product of the lengths of the rests. What is left is computed exactly.
     """
     spark = rows.sparkSession
     taken = vx.doubles(rows, key, vector, queries, lambda x: F.floor(F.lit(scale) * x).cast("double"))
