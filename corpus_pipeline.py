@@ -1,11 +1,76 @@
-"""Five stages from raw documents to packed sequences."""
+"""Five stages from raw documents to packed sequences.
+
+Each stage takes the documents that the stage before has kept, written as Parquet and read again, and
+calls one operator of :mod:`textlens.llm`. All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from textlens.llm import language, mixing, near, packing, suffixes
+from textlens.llm.queries import CONTEXT, LANGUAGES, op2_rows, tokenizer_path
+from textlens.session import scratch_path
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def _documents(docs: DataFrame) -> DataFrame:
+    return docs.select(*COLUMNS)
+
+
+def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the languages; the rest go. The text model is fitted on the labels of ``docs``."""
+    table = language.fit_trigrams(docs, LANGUAGES)
+    rows = language.document_rows(docs).select(*COLUMNS, F.col("text").alias("_text"), *CONTEXT)
+    found = language.identify_languages(rows, table, LANGUAGES, text="_text")
+    return _documents(found.where("accepted"))
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates, the one of the least id."""
+    return _documents(near.keep_one_of_each(docs))
+
+
+def without_earlier_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the 50-byte strings of earlier documents; ``n_chars`` counts what stays.
+
+    A character that loses some of its bytes goes as a whole. A text that loses everything stays as an empty one.
+    """
+    kept = suffixes.remove_earlier_strings(_documents(docs))
+    return _documents(kept.mapInArrow(suffixes.kept_texts, docs.select(*COLUMNS).schema))
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated towards the target shares of their sources, in random order."""
+    return _documents(mixing.poisson_mix(docs))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in sequences of 1,024 tokens."""
+    return op2_rows(packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json")))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", known_languages),
+    ("near_dedup", without_near_copies),
+    ("suffix_dedup", without_earlier_strings),
+    ("mixing", mixed_sources),
+    ("packing", packed),
+]
+
+# The stages sample, hash and tokenize by rules that SQL has no words for; tests compare them with plain versions.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    """All stages over ``documents``."""
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        path = scratch_path(spark, f"pipeline-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs

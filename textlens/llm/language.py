@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
@@ -76,6 +75,24 @@ def fit_trigrams(
     return np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32)
 
 
+def _posterior(logs: np.ndarray) -> np.ndarray:
+    parts = np.exp(logs - logs.max(axis=1, keepdims=True, initial=-np.inf))
+    return parts / parts.sum(axis=1, keepdims=True)
+
+
+def _lists(matrix: np.ndarray) -> pa.Array:
+    size = matrix.shape[1]
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, matrix.size + 1, size, dtype=np.int32)), pa.array(matrix.ravel()))
+
+
+def _matrix(column: pa.Array, size: int) -> np.ndarray:
+    """Rows of a list column, a null one as missing numbers."""
+    out = np.full((len(column), size), np.nan)
+    real = column.is_valid().to_numpy(zero_copy_only=False)
+    out[real] = column.drop_null().flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
+    return out
+
+
 def _likelihood(table: np.ndarray, power: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -93,18 +110,38 @@ def _likelihood(table: np.ndarray, power: float):
                     sums = np.add.reduceat(values, edges[:-1] if open_end else edges, dtype=np.float64)
                     evidence[full, i] = sums[::2]
             evidence *= (np.maximum(count, 1.0) ** (power - 1.0))[:, None]
-            lists = pa.FixedSizeListArray.from_arrays(pa.array(evidence.ravel()), len(table)).cast(pa.list_(pa.float64()))
-            columns = [*batch.columns[:-1], pa.array(count.astype(np.int64)), lists]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], "n_trigrams", "evidence"])
+            columns = [*batch.columns[:-1], _lists(evidence), _lists(_posterior(evidence))]
+            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], "evidence", "soft"])
 
     return run
 
 
-def _softmax(values: list[Column]) -> list[Column]:
-    top = F.greatest(*values)
-    parts = [F.exp(v - top) for v in values]
-    total = sum(parts[1:], parts[0])
-    return [p / total for p in parts]
+def _fuse(names: list[str], totals: np.ndarray, pull: float, least: float):
+    general = (totals + 1.0) / (totals.sum() + len(names))
+
+    def share(held: np.ndarray, own: np.ndarray, prior: np.ndarray) -> np.ndarray:
+        others = np.maximum(held - own, 0.0)
+        drawn = (others + pull * prior) / (others.sum(axis=1, keepdims=True) + pull)
+        return np.where(np.isnan(held), prior, drawn)
+
+    def frequency(held: np.ndarray) -> np.ndarray:
+        even = held.sum(axis=1, keepdims=True) / max(totals.sum(), 1e-9)
+        return np.where(np.isnan(held), 0.0, np.log((held + pull * even) / (totals + pull)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = {n: _matrix(batch.column(i), len(names)) for i, n in enumerate(batch.schema.names) if i}
+            own = column["soft"]
+            prior = share(column["host_sums"], own, share(column["domain_sums"], own, np.broadcast_to(general, own.shape)))
+            logs = column["evidence"] + np.log(prior) + frequency(column["declared_sums"]) + frequency(column["suffix_sums"])
+            found = _posterior(logs)
+            best = found.argmax(axis=1)
+            sure = found[np.arange(len(best)), best]
+            kept = (best < len(names) - 1) & (sure >= least)
+            columns = [batch.column(0), pa.array(names).take(pa.array(best)), pa.array(sure), pa.array(kept)]
+            yield pa.RecordBatch.from_arrays(columns, ["row", "language", "confidence", "accepted"])
+
+    return run
 
 
 def _context_key(*columns: str) -> Column:
@@ -142,19 +179,16 @@ def identify_languages(
     """
     names = [*languages, UNKNOWN]
     size = range(len(names))
-    results = ("language", "confidence", "accepted", "n_trigrams", "evidence", "context", "text")
-    kept = [c for c in rows.columns if c != text and c not in results]
-    carried = rows.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(text).alias("text")) if kept else None
-    if carried is None:
+    kept = [c for c in rows.columns if c not in (text, "language", "confidence", "accepted")]
+    if not kept:
         raise ValueError("rows need a column beside the text")
-    shape = f"row {carried.schema['row'].dataType.simpleString()}, n_trigrams long, evidence array<double>"
-    scored = carried.mapInArrow(_likelihood(table, power), shape)
+    carried = rows.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(text).alias("text"))
+    row_type = carried.schema["row"].dataType.simpleString()
+    scored = carried.mapInArrow(_likelihood(table, power), f"row {row_type}, evidence array<double>, soft array<double>")
     contexts = [(n, c) for n, c in (("declared", declared), ("host", host), ("domain", domain), ("suffix", suffix))]
     fields = [(F.col("row").getField(c) if c in kept else F.lit(None)).cast("string").alias(n) for n, c in contexts]
-    scored = store(scored.select("row", "n_trigrams", "evidence", *fields), "evidence")
-    values = [F.when(F.col("n_trigrams") > 0, F.col("evidence")[i]).otherwise(F.lit(0.0)) for i in size]
-    soft = F.array(*_softmax(values))
-    marked = scored.withColumn("soft", soft).withColumn("context", _context_key("declared", "host", "domain", "suffix"))
+    scored = store(scored.select("row", "evidence", "soft", *fields), "evidence")
+    marked = scored.withColumn("context", _context_key("declared", "host", "domain", "suffix"))
 
     def sums(frame: DataFrame, keys: Sequence[str], source: str, to: str) -> DataFrame:
         added = frame.groupBy(*keys).agg(*[F.sum(F.col(source)[i]).alias(f"_{i}") for i in size])
@@ -163,41 +197,17 @@ def identify_languages(
     groups = store(sums(marked, ["context", "declared", "host", "domain", "suffix"], "soft", "sums"), "contexts")
     overall = groups.agg(*[F.sum(F.col("sums")[i]).alias(f"_{i}") for i in size]).first()
     totals = np.array([overall[i] or 0.0 for i in size])
-    general = (totals + 1.0) / (totals.sum() + len(names))
     known = groups
     for name, keys in (("declared", ["declared"]), ("suffix", ["suffix"]), ("domain", ["domain"]), ("host", ["host", "domain"])):
         part = sums(groups.where(F.col(name).isNotNull()), keys, "sums", f"{name}_sums")
         part = part.withColumn("_at", _context_key(*keys)).drop(*keys)
         known = measured_join(known.withColumn("_at", _context_key(*keys)), part, ["_at"], "left", BROADCAST_CONTEXTS).drop("_at")
-    known = known.select("context", *[f"{n}_sums" for n in ("declared", "suffix", "domain", "host")])
-    met = measured_join(marked, known, ["context"], limit_rows=BROADCAST_CONTEXTS)
-
-    def share(name: str, own: list[Column], prior: list[Column]) -> list[Column]:
-        held = F.col(f"{name}_sums")
-        others = [F.greatest(held[i] - own[i], F.lit(0.0)) for i in size]
-        count = sum(others[1:], others[0])
-        drawn = [(others[i] + pull * prior[i]) / (count + pull) for i in size]
-        return [F.when(held.isNull(), prior[i]).otherwise(drawn[i]) for i in size]
-
-    def frequency(name: str) -> list[Column]:
-        held = F.col(f"{name}_sums")
-        count = sum([held[i] for i in size][1:], held[0])
-        even = count / F.lit(float(max(totals.sum(), 1e-9)))
-        rate = [(held[i] + pull * even) / F.lit(float(totals[i] + pull)) for i in size]
-        return [F.when(held.isNull(), 0.0).otherwise(F.log(r)) for r in rate]
-
-    own = [F.col("soft")[i] for i in size]
-    base = share("domain", own, [F.lit(float(g)) for g in general])
-    met = met.withColumn("_base", F.array(*base))
-    prior = share("host", own, [F.col("_base")[i] for i in size])
-    met = met.withColumn("_logs", F.array(*[v + F.log(p) + d + s for v, p, d, s in zip(values, prior, frequency("declared"), frequency("suffix"))]))
-    met = met.withColumn("_posterior", F.array(*_softmax([F.col("_logs")[i] for i in size])))
-    best = F.array_max("_posterior")
-    place = F.array_position("_posterior", best)
-    language = F.element_at(F.array(*[F.lit(n) for n in names]), place.cast("int"))
-    named = met.select("row", language.alias("language"), best.alias("confidence"))
-    accepted = (F.col("language") != UNKNOWN) & (F.col("confidence") >= least)
-    return named.select(*[F.col("row").getField(c).alias(c) for c in kept], "language", "confidence", accepted.alias("accepted"))
+    held = [f"{n}_sums" for n in ("declared", "suffix", "domain", "host")]
+    met = measured_join(marked, known.select("context", *held), ["context"], limit_rows=BROADCAST_CONTEXTS)
+    fused = met.select("row", "evidence", "soft", *held).mapInArrow(
+        _fuse(names, totals, pull, least), f"row {row_type}, language string, confidence double, accepted boolean"
+    )
+    return fused.select(*[F.col("row").getField(c).alias(c) for c in kept], "language", "confidence", "accepted")
 
 
 def page_rows(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:

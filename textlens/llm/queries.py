@@ -54,7 +54,7 @@ SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT
 FROM judged GROUP BY doc_id"""
 
 
-def _tokenizer(name: str) -> str:
+def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -70,7 +70,11 @@ def crc32_of_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 @entry
 def op2_histogram_packing(spark, sf_dir):
     """All documents in sequences of 1,024 tokens, one row per piece."""
-    pieces = packing.pack_documents(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
+    return op2_rows(packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json")))
+
+
+def op2_rows(pieces: DataFrame) -> DataFrame:
+    """A row per piece, with its offset in the sequence and the checksum of its ids."""
     schema = "doc_id long, start long, length long, doc_tokens long, sequence_id long, place int, ids_crc32 long"
     placed = packing.offsets(pieces.mapInArrow(crc32_of_ids, schema))
     return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -163,7 +167,7 @@ def op8_license_scan(spark, sf_dir):
 def op9_token_orc(spark, sf_dir):
     """Token ids of all documents written as ORC and read back."""
     path = scratch_path(spark, "token-ids")
-    token_files.write_token_ids(_table(spark, sf_dir, "documents"), path, _tokenizer("word_bpe_49k.json"))
+    token_files.write_token_ids(_table(spark, sf_dir, "documents"), path, tokenizer_path("word_bpe_49k.json"))
     return token_files.token_places(token_files.read_token_ids(spark, path))
 
 
