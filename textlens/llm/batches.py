@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from textlens.session import scratch_path
 
 # Bytes of text in a batch; a longer text is a batch of its own.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 # Stands for a null key, after all others.
 LAST_KEY = np.iinfo(np.int64).max

@@ -16,6 +16,9 @@ from textlens.session import cut, store
 # Hashed trigrams of bytes.
 TRIGRAM_BITS = 15
 
+# Bytes scored at once.
+CHUNK = 1 << 18
+
 # The class of what is none of the languages: every trigram is as likely as any other.
 UNKNOWN = "und"
 
@@ -99,16 +102,18 @@ def _likelihood(table: np.ndarray, power: float):
             data, offsets = _lowered(batch.column(batch.num_columns - 1))
             count = np.maximum(np.diff(offsets) - 2, 0)
             evidence = np.zeros((batch.num_rows, len(table)))
-            full = np.flatnonzero(count)
-            if len(full):
-                buckets = _trigrams(data)
-                # sums over [first, last + 1) of each text; the trigrams across texts fall between
-                edges = np.stack([offsets[:-1][full], offsets[:-1][full] + count[full]], axis=1).ravel()
-                open_end = edges[-1] >= len(buckets)
+            for begin in range(0, len(data) - 2, CHUNK):  # texts of any length, some bytes at a time
+                buckets = _trigrams(data[begin : begin + CHUNK + 2])
+                first = np.clip(offsets[:-1] - begin, 0, len(buckets))
+                last = np.clip(offsets[:-1] + count - begin, first, len(buckets))
+                held = np.flatnonzero(last > first)
+                if not len(held):
+                    continue
+                # sums over [first, last) of each text; the trigrams across texts fall between
+                edges = np.stack([first[held], last[held]], axis=1).ravel()
+                edges = edges[:-1] if edges[-1] == len(buckets) else edges
                 for i, row in enumerate(table):
-                    values = row[buckets]
-                    sums = np.add.reduceat(values, edges[:-1] if open_end else edges, dtype=np.float64)
-                    evidence[full, i] = sums[::2]
+                    evidence[held, i] += np.add.reduceat(row[buckets], edges, dtype=np.float64)[::2]
             evidence *= (np.maximum(count, 1.0) ** (power - 1.0))[:, None]
             columns = [*batch.columns[:-1], _lists(evidence), _lists(_posterior(evidence))]
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], "evidence", "soft"])
