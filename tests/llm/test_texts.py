@@ -145,13 +145,13 @@ def test_samples_estimate_the_similarity():
     weights = {x: w for x, w in zip(np.r_[shared, one, two].tolist(), (rng.random(600) + 0.5).tolist())}
     wa, wb = (np.array([weights[x] for x in s.tolist()]) for s in (a, b))
     drawn = near.weighted_samples(np.r_[a, b], np.r_[wa, wb], np.array([0, 500, 1000]), 600)
-    exact = near.weighted_jaccard(a.tobytes() + wa.astype("<f4").tobytes(), b.tobytes() + wb.astype("<f4").tobytes())
+    exact = near.weighted_jaccard(near.pack_weighed(a, wa), near.pack_weighed(b, wb))
     assert abs((drawn[0] == drawn[1]).mean() - exact) < 0.06
 
 
 def test_leaders_find_what_the_first_misses(spark):
     name = lambda i: bytes([i]) * 16
-    members = spark.createDataFrame([(1, name(i)) for i in range(5)], "bucket long, node binary")
+    members = near._members(spark.createDataFrame([(1, name(i)) for i in range(5)] + [(2, name(9))], "bucket long, node binary"))
     labels = spark.createDataFrame([(name(0), name(0)), (name(1), name(0))], "node binary, label binary")
     compared, led, leaders = {(name(0), name(i)) for i in range(1, 5)}, None, 1
     for _ in range(10):

@@ -165,7 +165,7 @@ def _sketch(key: str, text: str, words: int, documents: int, least: float, share
                     nodes.append(hashlib.md5(plain).digest())
                     new = nodes[-1] not in seen  # copies in a batch need their shingles once
                     seen.add(nodes[-1])
-                    blobs.append(part[own].tobytes() + heavy[own].astype("<f4").tobytes() if new else None)
+                    blobs.append(pack_weighed(part[own], heavy[own]) if new else None)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, bands * len(chosen) + 1, bands, dtype=np.int32)), pa.array(band_keys.ravel().view(np.int64)))
                 for begin in range(0, len(chosen), 500):
                     part = slice(begin, begin + 500)
@@ -174,10 +174,20 @@ def _sketch(key: str, text: str, words: int, documents: int, least: float, share
     return run
 
 
+def pack_weighed(found: np.ndarray, weights: np.ndarray) -> bytes:
+    """Ascending shingles by their upper 32 bits, which tell two texts' shingles apart well enough, and their weights."""
+    upper = bt.pack(np.diff((found >> np.uint64(32)).astype(np.uint32), prepend=np.uint32(0)))
+    return len(upper).to_bytes(4, "little") + upper + bt.pack(weights.astype("<f4"))
+
+
+def _unpack_weighed(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    size = 4 + int.from_bytes(data[:4], "little")
+    return np.cumsum(bt.unpack(data[4:size], "<u4"), dtype=np.uint32), bt.unpack(data[size:], "<f4").astype(float)
+
+
 def weighted_jaccard(left: bytes, right: bytes) -> float:
     """Sum of the smaller weights by the sum of the larger ones."""
-    x, u = np.frombuffer(left, "<u8", len(left) // 12), np.frombuffer(left, "<f4", offset=len(left) // 12 * 8).astype(float)
-    y, v = np.frombuffer(right, "<u8", len(right) // 12), np.frombuffer(right, "<f4", offset=len(right) // 12 * 8).astype(float)
+    (x, u), (y, v) = _unpack_weighed(left), _unpack_weighed(right)
     at = np.minimum(np.searchsorted(y, x), len(y) - 1)
     same = y[at] == x
     both = np.minimum(u[same], v[at[same]]).sum()
@@ -221,9 +231,21 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _members(named: DataFrame) -> DataFrame:
+    """``(bucket, turn, node)`` of buckets with several nodes.
+
+    ``turn`` orders leaders: first the nodes whose buckets hold most members, as the text that others were copied from
+    agrees with each of them in more bands than they do with each other.
+    """
+    shared = named.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    met = store(measured_join(named, shared, ["bucket"], limit_rows=BROADCAST_ROWS), "buckets")
+    met_by = met.groupBy("node").agg(F.struct((-F.sum("n")).alias("met"), F.col("node").alias("node")).alias("turn"))
+    return store(measured_join(met.select("bucket", "node"), met_by, ["node"], limit_rows=BROADCAST_ROWS), "members")
+
+
 def _star(members: DataFrame) -> DataFrame:
-    """Each member of a bucket beside the bucket's least one."""
-    first = members.groupBy("bucket").agg(F.min("node").alias("a"))
+    """Each member of a bucket beside the bucket's first one."""
+    first = members.groupBy("bucket").agg(F.min("turn").alias("first")).select("bucket", F.col("first.node").alias("a"))
     met = measured_join(members, first, ["bucket"], limit_rows=BROADCAST_ROWS)
     return met.where(F.col("node") != F.col("a")).select("a", F.col("node").alias("b")).distinct()
 
@@ -231,18 +253,19 @@ def _star(members: DataFrame) -> DataFrame:
 def _open_pairs(members: DataFrame, labels: DataFrame, led: DataFrame | None, leaders: int) -> tuple[DataFrame, DataFrame]:
     """Next leaders of the buckets that hold several components, and their pairs with members of other components.
 
-    Two members of different components have been compared once either has led the bucket, so the
-    members of a bucket's largest component need not lead.
+    Two members of different components have been compared once either has led the bucket, so those
+    who led are not met again, and the members of a bucket's largest component need not lead.
     """
     named = measured_join(members, labels, ["node"], "left", BROADCAST_ROWS).withColumn("label", F.coalesce("label", "node"))
     sizes = named.groupBy("bucket", "label").agg(F.count("*").alias("n"))
     kinds = sizes.groupBy("bucket").agg(F.count("*").alias("kinds"), F.max_by("label", F.struct("n", "label")).alias("largest"))
-    mixed = store(measured_join(named, kinds.where("kinds > 1"), ["bucket"], limit_rows=BROADCAST_ROWS), "mixed")
-    waiting = mixed.where(F.col("label") != F.col("largest")).select("bucket", "node", "label")
+    mixed = measured_join(named, kinds.where("kinds > 1").drop("kinds"), ["bucket"], limit_rows=BROADCAST_ROWS)
     if led is not None:
-        waiting = waiting.join(led, ["bucket", "node"], "left_anti")
-    order = Window.partitionBy("bucket").orderBy("node")
-    chosen = cut(waiting.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= leaders).drop("_n"))
+        mixed = measured_join(mixed, led, ["bucket", "node"], "left_anti", BROADCAST_ROWS)
+    mixed = store(mixed, "mixed")
+    order = Window.partitionBy("bucket").orderBy("turn")
+    waiting = mixed.where(F.col("label") != F.col("largest")).withColumn("_n", F.row_number().over(order))
+    chosen = cut(waiting.where(F.col("_n") <= leaders).select("bucket", "node", "label"))
     other = chosen.select("bucket", F.col("node").alias("leader"), F.col("label").alias("own"))
     met = measured_join(mixed, other, ["bucket"], limit_rows=BROADCAST_ROWS).where(F.col("label") != F.col("own"))
     pairs = met.select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")).distinct()
@@ -259,8 +282,7 @@ def _classes(batches: DataFrame, key: str, text: str, words: int, least: float,
     counted.mapInArrow(sketch, _SKETCH).write.option("compression", "zstd").parquet(path)
     sketches = spark.read.schema(_SKETCH).parquet(path)
     named = store(sketches.select("node", F.explode("bands").alias("bucket")).distinct(), "named")
-    shared = named.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    members = store(measured_join(named, shared, ["bucket"], limit_rows=BROADCAST_ROWS).select("bucket", "node"), "buckets")
+    members = _members(named)
     texts = sketches.where(F.col("weighed").isNotNull()).groupBy("node").agg(F.first("weighed").alias("weighed"))
     texts = store(texts.join(members.select("node").distinct(), "node", "left_semi"), "texts")
     links = cut(_links(_star(members), texts, least))
