@@ -7,6 +7,8 @@ a batch sends it once, and gets one answer.
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -19,13 +21,29 @@ from pyspark.sql import functions as F
 from textlens.session import scratch_path
 
 # Bytes of text in a batch; a longer text is a batch of its own.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 
 # Stands for a null key, after all others.
 LAST_KEY = np.iinfo(np.int64).max
 
 # Hashed keys that one group of the exchange should hold.
-GROUP_KEYS = 2_000_000
+GROUP_KEYS = 500_000
+
+
+def release() -> None:
+    """Give freed memory back: a Python worker lives on between tasks, beside others in its executor."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform.startswith("linux"):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def slices(batch: pa.RecordBatch, column: int, size: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about ``size`` bytes of text; a longer text is a part of its own."""
+    lengths = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+    parts = np.cumsum(lengths.astype(np.int64)) // size
+    edges = np.flatnonzero(np.r_[True, parts[1:] != parts[:-1], True]) if len(parts) else np.zeros(0, np.int64)
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        yield batch.slice(a, b - a)
 
 
 def pack(array: np.ndarray) -> bytes:
@@ -139,7 +157,9 @@ def _ask(extract: Callable, bits: int):
                     counts.append(pack(docs[a:b].astype(np.uint32)))
                 columns = [pa.array(groups, pa.int64()), pa.array([number] * len(groups), pa.int64())]
                 columns += [pa.array(asked, pa.binary()), pa.array(counts, pa.binary())]
+                del hashes, docs, low
                 yield pa.RecordBatch.from_arrays(columns, ["bucket", "batch", "asked", "counts"])
+        release()
 
     return run
 

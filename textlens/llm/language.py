@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -10,12 +11,16 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textlens.llm.batches import release, slices
 from textlens.operators.joins import measured_join
 from textlens.session import cut, store
 
 # Hashed trigrams of bytes.
 TRIGRAM_BITS = 15
 
+# Bytes of the texts that are lower-cased together.
+SLICE = 4 << 20
+
 # Bytes scored at once.
 CHUNK = 1 << 18
 
@@ -43,7 +48,7 @@ def _trigrams(data: np.ndarray) -> np.ndarray:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in chain.from_iterable(slices(b, 1, SLICE) for b in batches):
         data, offsets = _lowered(batch.column(1))
         found = {}
         for row, label in enumerate(batch.column(0).to_pylist()):
@@ -98,7 +103,7 @@ def _matrix(column: pa.Array, size: int) -> np.ndarray:
 
 def _likelihood(table: np.ndarray, power: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in chain.from_iterable(slices(b, b.num_columns - 1, SLICE) for b in batches):
             data, offsets = _lowered(batch.column(batch.num_columns - 1))
             count = np.maximum(np.diff(offsets) - 2, 0)
             evidence = np.zeros((batch.num_rows, len(table)))
@@ -117,6 +122,7 @@ def _likelihood(table: np.ndarray, power: float):
             evidence *= (np.maximum(count, 1.0) ** (power - 1.0))[:, None]
             columns = [*batch.columns[:-1], _lists(evidence), _lists(_posterior(evidence))]
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], "evidence", "soft"])
+        release()
 
     return run
 

@@ -170,6 +170,7 @@ def _sketch(key: str, text: str, words: int, documents: int, least: float, share
                 for begin in range(0, len(chosen), 500):
                     part = slice(begin, begin + 500)
                     yield _sketched(number, chosen[part], keys[chosen[part]], nodes[part], lists[part], blobs[part])
+        bt.release()
 
     return run
 
