@@ -91,3 +91,9 @@ def test_heading_as_fragment_prefixes_the_first_couplet(segments):
     texts = {r["pos"]: r["text"] for r in out.collect()}
     assert texts[11] == "story A r - s - t"
     assert texts[4] == "kept x - y"
+
+
+def test_references_and_attributes(spark):
+    html = '<h1 class="x">A &amp;lt; B</h1><p id=1>&lt;b&gt; &#65;&#x42;&#8364; <b class="y">&quot;q&quot;</b> &#38;lt; &#0; &unknown;</p>'
+    got = ex.flat_segments(spark.createDataFrame([(1, html)], "page_id int, html string")).collect()
+    assert [(r["kind"], r["text"]) for r in got] == [("h1", "A &lt; B"), ("p", '<b> AB\u20ac "q" &lt; &#0; &unknown;')]

@@ -133,3 +133,54 @@ def test_library_avoids(word):
 
     sources = pathlib.Path(st.__file__).parents[1].rglob("*.py")
     assert not [s.name for s in sources if f".{word}(" in s.read_text(encoding="utf-8")]
+
+
+def test_reopened_buckets_lose_no_rows(spark, tmp_path):
+    path = str(tmp_path / "postings")
+    rows = spark.range(800).select((F.col("id") % 400).alias("doc_id"), F.concat(F.lit("t"), F.col("id")).alias("term"), F.lit(1).alias("tf"))
+    st.build_clustered_table(spark, path, lambda: rows, "doc_id", "term", 8)
+    for name in [t.name for t in spark.catalog.listTables() if t.name.startswith("textlens_")]:
+        spark.sql(f"DROP TABLE {name}")  # as another session would find it
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for asked in (4, 16):
+            spark.conf.set("spark.sql.shuffle.partitions", str(asked))
+            opened = st.build_clustered_table(spark, path, lambda: None, "doc_id", "term", asked)
+            counted = opened.groupBy("doc_id").agg(F.sum("tf").alias("tf"))
+            assert counted.count() == 400 and counted.agg(F.sum("tf")).first()[0] == 800
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_other_arguments_build_anew(spark, tmp_path):
+    path = str(tmp_path / "table")
+    for arguments, n in (("a", 3), ("a", 5), ("b", 5)):
+        got = st.build_table(spark, path, lambda n=n: spark.range(n), arguments).count()
+        assert got == (3 if arguments == "a" else 5)
+
+
+def test_null_groups_stay(spark):
+    from textlens.operators.ordering import carry_forward, previous_row
+
+    rows = spark.createDataFrame([(None, 0, "a"), (None, 1, None), (1, 0, "b")], "g int, p int, v string")
+    filled = carry_forward(rows, ["g"], "p", F.col("v"), "carried").collect()
+    assert sorted((r["g"] or 0, r["p"], r["carried"]) for r in filled) == [(0, 0, "a"), (0, 1, "a"), (1, 0, "b")]
+    assert previous_row(rows, ["g"], "p", ["v"], "before").count() == 3
+
+
+def test_a_late_stream_raises(spark, tmp_path):
+    import time
+
+    import pytest
+
+    from textlens.streaming.arrivals import answer_arrivals
+
+    spark.createDataFrame([(1, "x")], "query_id long, text string").write.parquet(str(tmp_path / "in"))
+    arrivals = spark.readStream.schema("query_id long, text string").parquet(str(tmp_path / "in"))
+
+    def slow(batch):
+        time.sleep(20)
+        return batch
+
+    with pytest.raises(TimeoutError):
+        answer_arrivals(arrivals, slow, str(tmp_path / "out"), str(tmp_path / "state"), timeout=2)

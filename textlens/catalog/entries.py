@@ -183,7 +183,7 @@ def _word_embeddings(docs, vocab):
 def load_word_vectors(spark, sf_dir):
     docs = inputs.documents(spark, sf_dir)
     path = scratch_path(spark, "word-vectors")
-    single = ss.fit_vocabulary(docs, ps.index_terms(high=1))
+    single = ss.fit_vocabulary(docs, ps.index_terms(high=1), size=None)
     write_word_vectors(inputs.word_vectors(single), path)
     loaded = read_word_vectors(spark, path)
     return loaded.select("word", F.posexplode("vec").alias("dim", "value")).withColumn(
@@ -424,7 +424,7 @@ def classify_predict(spark, sf_dir):
     train = kl.text_features(kl.bucket_labels(labelled, index, kl.TOP_LABELS)).where(
         kl.split_column(F.col("doc_id")) == "train"
     )
-    model = kl.fit_classifier(kl.text_classifier(1 << 14, 20), train, kl.class_weights(index))
+    model = kl.fit_classifier(kl.text_classifier(), train, kl.class_weights(index))
     return kl.predict_labels(model, kl.text_features(docs), index).select("doc_id", "predicted", "confidence")
 
 

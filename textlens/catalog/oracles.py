@@ -26,10 +26,13 @@ def _quote(value: str) -> str:
 
 _SEGMENTS = r"""elements AS MATERIALIZED (
   SELECT page_id, unnest(x) AS e, generate_subscripts(x, 1) - 1 AS pos FROM (
-    SELECT page_id, regexp_extract_all(regexp_replace(html, '</?(b|i|br)/?>', '', 'g'), '<(?:h1|p)>[^<]*') AS x FROM pages)),
+    SELECT page_id, regexp_extract_all(regexp_replace(html, '</?(b|i|br)(\s[^>]*)?/?>', '', 'g'), '<(?:h1|p)(?:\s[^>]*)?>[^<]*') AS x
+    FROM pages)),
 segments AS (
-  SELECT page_id, pos::INT AS pos, regexp_extract(e, '^<([^>]*)>', 1) AS kind,
-         regexp_replace(e, '^<[^>]*>', '') AS text FROM elements)"""
+  SELECT page_id, pos::INT AS pos, regexp_extract(e, '^<([^>\s]*)', 1) AS kind,
+    replace(replace(replace(replace(replace(list_reduce(list_prepend(regexp_replace(e, '^<[^>]*>', ''),
+      regexp_extract_all(e, '&#[0-9]+;')), lambda t, r: replace(t, r, chr(r[3:-2]::INT))),
+      '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&apos;', chr(39)), '&amp;', '&') AS text FROM elements)"""
 
 ORACLES["html_segments"] = _with(_SEGMENTS, select="SELECT page_id, pos, kind, text FROM segments")
 
@@ -199,7 +202,7 @@ _UNIGRAM_VOCAB = """tf AS MATERIALIZED (SELECT doc_id, t AS term, count(*) AS tf
 ORACLES["load_word_vectors"] = _with(
     _TOK,
     _UNIGRAM_VOCAB,
-    _VOCAB,
+    _VOCAB.replace("LIMIT 10000", ""),
     _WORD_VECTORS,
     select=" UNION ALL ".join(
         f"SELECT term AS word, {i}::INT AS dim, round(v{i}::FLOAT::DOUBLE, 4) + 0.0 AS value FROM wv"

@@ -127,3 +127,28 @@ def split_halves(text: Column, number: int) -> Column:
 def couplet_parts(text: Column, separator: str) -> Column:
     """Pieces of a couplet around a literal separator."""
     return F.split(text, re.escape(separator))
+
+
+# Named character references of markup; the ampersand comes last, so nothing is decoded twice.
+NAMED_REFERENCES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", "\u00a0")]
+
+
+def unescape_markup(text: Column) -> Column:
+    """Text with its named and numeric character references decoded."""
+    out = text
+    for name, character in NAMED_REFERENCES:
+        out = F.replace(out, F.lit(name), F.lit(character))
+
+    def decoded(done: Column, reference: Column) -> Column:
+        digits = F.substring(reference, F.lit(3), F.length(reference) - 3)
+        spelt = F.when(
+            F.lower(F.substring(digits, 1, 1)) == "x", F.conv(F.substring(digits, F.lit(2), F.length(digits)), 16, 10)
+        ).otherwise(digits)
+        code = spelt.cast("long")
+        real = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+        character = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return F.when(real, F.replace(done, reference, character)).otherwise(done)
+
+    numeric = F.array_distinct(F.regexp_extract_all(out, F.lit("&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});"), F.lit(0)))
+    out = F.when(F.contains(out, F.lit("&#")), F.aggregate(numeric, out, decoded)).otherwise(out)
+    return F.replace(out, F.lit("&amp;"), F.lit("&"))

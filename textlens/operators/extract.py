@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textlens.functions.text import couplet_parts, strip
+from textlens.functions.text import couplet_parts, strip, unescape_markup
 from textlens.operators.ordering import CHUNK_ROWS, carry_forward, previous_row
 from textlens.operators.rows import unnest
 
@@ -38,18 +38,19 @@ def flat_segments(
 ) -> DataFrame:
     """Headings and paragraphs of pages whose elements do not nest, in page order.
 
-    Inline tags are removed first; an element ends at the next tag. Output: key, ``pos``,
-    ``kind`` (the tag) and ``text``. No shuffle: a page yields its own rows.
+    Inline tags are removed first; an element ends at the next tag. Tags may have attributes, and
+    character references are decoded. Output: key, ``pos``, ``kind`` (the tag) and ``text``. No shuffle: a page yields
+    its own rows.
     """
     inline = "|".join(inline_tags)
-    plain = F.regexp_replace(html, rf"</?({inline})/?>", "") if inline_tags else F.col(html)
-    found = F.regexp_extract_all(plain, F.lit(rf"<(?:{heading_tag}|{body_tag})>[^<]*"), 0)
+    plain = F.regexp_replace(html, rf"</?({inline})(\s[^>]*)?/?>", "") if inline_tags else F.col(html)
+    found = F.regexp_extract_all(plain, F.lit(rf"<(?:{heading_tag}|{body_tag})(?:\s[^>]*)?>[^<]*"), 0)
     rows = unnest(pages.select(key, html), found, "_element", "pos")
     return rows.select(
         key,
         "pos",
-        F.regexp_extract("_element", r"^<([^>]*)>", 1).alias("kind"),
-        F.regexp_replace("_element", r"^<[^>]*>", "").alias("text"),
+        F.regexp_extract("_element", r"^<([^>\s]*)", 1).alias("kind"),
+        unescape_markup(F.regexp_replace("_element", r"^<[^>]*>", "")).alias("text"),
     )
 
 

@@ -46,6 +46,14 @@ def _chunked(frame: DataFrame, position: str, chunk_rows: int) -> DataFrame:
     return frame.withColumn("_chunk", F.floor(F.col(position) / F.lit(chunk_rows)).cast("long"))
 
 
+def _beside(rows: DataFrame, carried: DataFrame, group: Sequence[str]) -> DataFrame:
+    """``rows`` with the row of ``carried`` of the same group and chunk; a null in the group is a value like others."""
+    keys = [*group, "_chunk"]
+    other = carried.select(*[F.col(k).alias(f"_of_{k}") for k in keys], "_carried")
+    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
+    return rows.join(other, same).drop(*[f"_of_{k}" for k in keys])
+
+
 def carry_forward(
     frame: DataFrame,
     group: Sequence[str],
@@ -66,9 +74,9 @@ def carry_forward(
     earlier = Window.partitionBy(*group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carried = tails.select(*group, "_chunk", F.last("_tail", ignorenulls=True).over(earlier).alias("_carried"))
     inside = Window.partitionBy(*group, "_chunk").orderBy(position).rowsBetween(Window.unboundedPreceding, 0)
+    filled = rows.withColumn("_inside", F.last("_value", ignorenulls=True).over(inside))
     return (
-        rows.withColumn("_inside", F.last("_value", ignorenulls=True).over(inside))
-        .join(carried, [*group, "_chunk"])
+        _beside(filled, carried, group)
         .withColumn(name, F.coalesce("_inside", "_carried"))
         .drop("_chunk", "_value", "_inside", "_carried")
     )
@@ -91,9 +99,9 @@ def previous_row(
     by_chunk = Window.partitionBy(*group).orderBy("_chunk")
     carried = ends.select(*group, "_chunk", F.lag("_end").over(by_chunk).alias("_carried"))
     inside = Window.partitionBy(*group, "_chunk").orderBy(position)
+    lagged = rows.withColumn("_inside", F.lag("_row").over(inside))
     return (
-        rows.withColumn("_inside", F.lag("_row").over(inside))
-        .join(carried, [*group, "_chunk"])
+        _beside(lagged, carried, group)
         .withColumn(name, F.coalesce("_inside", "_carried"))
         .drop("_chunk", "_row", "_inside", "_carried")
     )

@@ -55,9 +55,9 @@ def score_topk(
 
 
 def fit_vocabulary(
-    docs: DataFrame, terms: ps.Terms, size: int = ps.VOCABULARY_SIZE, key: str = "doc_id"
+    docs: DataFrame, terms: ps.Terms, size: int | None = ps.VOCABULARY_SIZE, key: str = "doc_id"
 ) -> DataFrame:
-    """Stored vocabulary ``(term, tf_total, df, idf)`` of a corpus, at most ``size`` terms."""
+    """Stored vocabulary ``(term, tf_total, df, idf)`` of a corpus, at most ``size`` terms, or all."""
     counts = ps.term_counts(docs, terms, key)
     return cut(ps.smoothed_idf(ps.vocabulary(counts, size), ps.document_count(docs)))
 
@@ -82,14 +82,14 @@ def cosine_search(
 
 
 def tfidf_search(
-    queries: DataFrame, docs: DataFrame, terms: ps.Terms, size: int = ps.VOCABULARY_SIZE, **options
+    queries: DataFrame, docs: DataFrame, terms: ps.Terms, size: int | None = ps.VOCABULARY_SIZE, **options
 ) -> DataFrame:
     """tf-idf search, vocabulary fitted on ``docs``."""
     return cosine_search(queries, docs, fit_vocabulary(docs, terms, size), terms, ps.tfidf_weights, **options)
 
 
 def boolean_search(
-    queries: DataFrame, docs: DataFrame, terms: ps.Terms, size: int = ps.VOCABULARY_SIZE, **options
+    queries: DataFrame, docs: DataFrame, terms: ps.Terms, size: int | None = ps.VOCABULARY_SIZE, **options
 ) -> DataFrame:
     """Search by 0/1 vectors, vocabulary fitted on ``docs``."""
     return cosine_search(queries, docs, fit_vocabulary(docs, terms, size), terms, ps.boolean_weights, **options)

@@ -22,7 +22,8 @@ def answer_arrivals(
 
     A batch replaces its own ``batch_id`` folder, so a batch that is run again after a failure
     leaves its answers once. ``answer`` reads a fixed index; the stream itself keeps no state.
-    Processes what is available and stops; give ``out`` and ``checkpoint`` to go on later.
+    Processes what is available and stops; raises ``TimeoutError`` when that takes longer than ``timeout``
+    seconds, and a later run with the same folders goes on from there. Give ``out`` and ``checkpoint`` to go on later.
     """
     spark = arrivals.sparkSession
     out = out or scratch_path(spark, "answers")
@@ -33,7 +34,9 @@ def answer_arrivals(
 
     writer = arrivals.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     stream = writer.trigger(availableNow=True).start()
-    stream.awaitTermination(timeout)
+    if not stream.awaitTermination(timeout) and timeout is not None:
+        stream.stop()
+        raise TimeoutError(f"arrivals were not answered within {timeout} seconds")
     if not path_exists(spark, out):
         nothing = answer(spark.createDataFrame([], arrivals.schema))
         return nothing.withColumn("batch_id", F.lit(None).cast("long"))
