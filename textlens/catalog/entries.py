@@ -236,7 +236,7 @@ def _misspelt_queries(spark, sf_dir):
 @entry
 def fuzzy_search(spark, sf_dir):
     docs = inputs.documents(spark, sf_dir)
-    return _with_label(ss.fulltext_search(_misspelt_queries(spark, sf_dir), docs, metric="levenshtein"), docs)
+    return _with_label(ss.fulltext_search(_misspelt_queries(spark, sf_dir), docs), docs)
 
 
 @entry
@@ -245,7 +245,7 @@ def fuzzy_expand_(spark, sf_dir):
     vocab = ss.fulltext_vocabulary(docs)
     terms = ps.term_counts(_misspelt_queries(spark, sf_dir), ps.FULLTEXT, "query_id")
     known = vocab.select(F.col("term").alias("word"), F.col("tf_total").alias("count"))
-    found = fuzzy_expand(terms.select(F.col("term").alias("word")).distinct(), known, metric="levenshtein")
+    found = fuzzy_expand(terms.select(F.col("term").alias("word")).distinct(), known)
     return found.select("term", "match", "edits", "count")
 
 
@@ -311,13 +311,13 @@ def _dictionary(spark, sf_dir):
 @entry
 def correct_word(spark, sf_dir):
     words = unnest(_misspelt_queries(spark, sf_dir), tx.whitespace_tokens(F.col("text")), "word")
-    return correct_words(words.select("word").distinct(), _dictionary(spark, sf_dir), metric="levenshtein")
+    return correct_words(words.select("word").distinct(), _dictionary(spark, sf_dir))
 
 
 @entry
 def expand_query(spark, sf_dir):
     queries = _misspelt_queries(spark, sf_dir)
-    return expand_queries(queries, _dictionary(spark, sf_dir), metric="levenshtein")
+    return expand_queries(queries, _dictionary(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- clusters

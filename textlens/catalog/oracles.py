@@ -312,9 +312,25 @@ def _expanded(terms: str, words: str) -> list[str]:
     CASE WHEN length(word) <= 2 THEN 0 WHEN length(word) <= 5 THEN 1 ELSE 2 END AS k
   FROM (SELECT DISTINCT word FROM {terms}))""",
         f"lexicon AS MATERIALIZED (SELECT *, {narrow.format('word')} AS b, length(word) AS lb FROM {words})",
+        # swaps of neighbours cost one: the distance of the beginnings, one, and that of the ends around a swap; or two swaps
+        """loose AS MATERIALIZED (
+  SELECT term, k, a, b, la, lb, levenshtein(a, b) AS plain, l.word AS match, l.* EXCLUDE (word, b, lb)
+  FROM budget JOIN lexicon l ON abs(la - lb) <= k AND levenshtein(a, b) <= 2 * k)""",
+        """swapped AS MATERIALIZED (
+  SELECT term, match, min(levenshtein(a[:i - 1], b[:j - 1]) + 1 + levenshtein(a[i + 2:], b[j + 2:])) AS cost
+  FROM (SELECT *, unnest(range(1, la)) AS i FROM loose WHERE plain > 1), (SELECT unnest([-1, 0, 1]) AS shift), LATERAL (SELECT i + shift AS j)
+  WHERE j >= 1 AND j < lb AND a[i] = b[j + 1] AND a[i + 1] = b[j] GROUP BY term, match)""",
+        """twice AS MATERIALIZED (
+  SELECT DISTINCT term, match FROM (
+    SELECT *, a[:i - 1] || a[i + 1] || a[i] || a[i + 2:] AS c
+    FROM (SELECT *, unnest(range(1, la)) AS i FROM loose WHERE k = 2 AND la = lb AND plain BETWEEN 3 AND 4) WHERE a[i] = b[i + 1] AND a[i + 1] = b[i])
+  JOIN LATERAL (SELECT unnest(range(1, la)) AS n) ON c[:n - 1] || c[n + 1] || c[n] || c[n + 2:] = b)""",
         """near AS MATERIALIZED (
-  SELECT term, l.word AS match, levenshtein(a, b) AS edits, l.* EXCLUDE (word, b, lb)
-  FROM budget JOIN lexicon l ON abs(la - lb) <= k AND levenshtein(a, b) <= k)""",
+  SELECT * EXCLUDE (k) FROM (
+    SELECT l.* EXCLUDE (a, b, la, lb, plain),
+      least(plain, coalesce(cost, 99), CASE WHEN t.term IS NULL THEN 99 ELSE 2 END) AS edits
+    FROM loose l LEFT JOIN swapped s ON s.term = l.term AND s.match = l.match
+      LEFT JOIN twice t ON t.term = l.term AND t.match = l.match) WHERE edits <= k)""",
         """expanded AS MATERIALIZED (
   SELECT * EXCLUDE (place) FROM (
     SELECT *, row_number() OVER (PARTITION BY term ORDER BY edits, count DESC, match) AS place FROM near)
