@@ -155,8 +155,8 @@ def test_leaders_find_what_the_first_misses(spark):
     labels = spark.createDataFrame([(name(0), name(0)), (name(1), name(0))], "node binary, label binary")
     compared, led, leaders = {(name(0), name(i)) for i in range(1, 5)}, None, 1
     for _ in range(10):
-        chosen, pairs = near._open_pairs(members, labels, led, leaders)
-        if not chosen.count():
+        chosen, count, pairs = near._open_pairs(members, labels, led, leaders)
+        if not count:
             break
         compared |= {(bytes(r["a"]), bytes(r["b"])) for r in pairs.collect()}
         led, leaders = chosen if led is None else led.union(chosen), leaders * 2
