@@ -30,8 +30,8 @@ from textlens.streaming.arrivals import answer_arrivals
 
 ENTRIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
-# Rounds in the fixed-round graph queries, compared with SQL after the same number of rounds.
-GRAPH_ROUNDS = 10
+# Ranks are taken where another round moves them by less than this in all.
+RANK_TOLERANCE = 1e-13
 PERSON_WINDOW = 5
 PLACE_WINDOW = 20
 
@@ -500,14 +500,14 @@ def adjacency(spark, sf_dir):
 @entry
 def pagerank(spark, sf_dir):
     counts, entities = _counts(spark, sf_dir)
-    ranks = gr.pagerank(gr.adjacency(counts), rounds=GRAPH_ROUNDS)
+    ranks = gr.pagerank(gr.adjacency(counts), tolerance=RANK_TOLERANCE)
     return _named(ranks, entities, {"node": "element"}).select("element", _r("rank", 8).alias("rank"))
 
 
 @entry
 def hits(spark, sf_dir):
     counts, entities = _counts(spark, sf_dir)
-    ranks = gr.hits(gr.adjacency(counts), rounds=GRAPH_ROUNDS)
+    ranks = gr.hits(gr.adjacency(counts), tolerance=RANK_TOLERANCE)
     named = _named(ranks, entities, {"node": "element"})
     return named.select("element", _r("hubs", 8).alias("hubs"), _r("authorities", 8).alias("authorities"))
 
@@ -515,7 +515,7 @@ def hits(spark, sf_dir):
 def _ranks(counts, entities):
     edges = gr.adjacency(counts)
     ranks = gr.entity_ranks(
-        entities, gr.pagerank(edges, rounds=GRAPH_ROUNDS), gr.hits(edges, rounds=GRAPH_ROUNDS)
+        entities, gr.pagerank(edges, tolerance=RANK_TOLERANCE), gr.hits(edges, tolerance=RANK_TOLERANCE)
     )
     rounded = {c: _r(c, 8) for c in ("rank", "hubs", "authorities")}
     return cut(ranks.withColumns(rounded))
@@ -587,7 +587,6 @@ def retrieve_response(spark, sf_dir):
         word_vectors=inputs.word_vectors,
         dimension=inputs.WORD_DIMENSION,
         stop_words=_stop_words(docs),
-        rounds=GRAPH_ROUNDS,
     )
     return answer_queries(index, queries)
 

@@ -11,11 +11,13 @@ from textlens.functions.text import SPACING_RULES, UNIFIED_CHARACTERS
 
 ORACLES: dict[str, str] = {}
 
-_GRAPH_ROUNDS = 10
+# Rounds after which the compared digits no longer change; the Spark side stops by itself.
+_PAGERANK_ROUNDS = 175
+_HITS_ROUNDS = 1000
 
 
 def _with(*tables: str, select: str) -> str:
-    return "WITH " + ",\n".join(tables) + "\n" + select
+    return "WITH RECURSIVE " + ",\n".join(tables) + "\n" + select
 
 
 def _quote(value: str) -> str:
@@ -554,39 +556,36 @@ def _counts(name: str, mentions: str, window: int) -> str:
   FROM {name}_tiles a JOIN {name}_tiles b ON a.tiling = b.tiling AND a.tile = b.tile GROUP BY a.element, b.element)"""
 
 
-def _pagerank(name: str, counts: str, rounds: int = _GRAPH_ROUNDS) -> str:
-    """One table per round, damping 0.9; self-loops leave no node without out-edges."""
+def _pagerank(name: str, counts: str, rounds: int = _PAGERANK_ROUNDS) -> str:
+    """Damping 0.9; self-loops leave no node without out-edges."""
     nodes = f"(SELECT count(DISTINCT element) FROM {counts})"
-    tables = [
-        f"{name}_deg AS MATERIALIZED (SELECT element, count(*) AS degree FROM {counts} GROUP BY element)",
-        f"{name}_0 AS MATERIALIZED (SELECT element, 1.0::DOUBLE / {nodes} AS rank FROM {name}_deg)",
-    ]
-    for r in range(1, rounds + 1):
-        tables.append(
-            f"""{name}_{r} AS MATERIALIZED (
-  SELECT other AS element, 0.1::DOUBLE / {nodes} + 0.9::DOUBLE * sum(rank / degree) AS rank
-  FROM {counts} c JOIN {name}_{r - 1} p ON c.element = p.element JOIN {name}_deg d ON c.element = d.element GROUP BY other)"""
-        )
-    return ",\n".join([*tables, f"{name} AS (SELECT element, round(rank, 8) AS rank FROM {name}_{rounds})"])
+    return f"""{name}_edges AS MATERIALIZED (
+  SELECT element, other, 1.0::DOUBLE / count(*) OVER (PARTITION BY element) AS weight FROM {counts}),
+{name}_rounds AS (
+  SELECT 0 AS r, element, 1.0::DOUBLE / {nodes} AS rank FROM (SELECT DISTINCT element FROM {counts})
+  UNION ALL
+  SELECT any_value(r) + 1, other, 0.1::DOUBLE / {nodes} + 0.9::DOUBLE * sum(rank * weight)
+  FROM {name}_rounds JOIN {name}_edges USING (element) WHERE r < {rounds} GROUP BY other),
+{name} AS MATERIALIZED (SELECT element, round(rank, 8) AS rank FROM {name}_rounds WHERE r = {rounds})"""
 
 
-def _hits(name: str, counts: str, rounds: int = _GRAPH_ROUNDS) -> str:
+def _hits(name: str, counts: str, rounds: int = _HITS_ROUNDS) -> str:
     """Authorities are sums of hubs along edges, hubs sums of authorities against them."""
-    tables = [f"{name}_h0 AS MATERIALIZED (SELECT DISTINCT element, 1.0::DOUBLE AS h FROM {counts})"]
-    for r in range(1, rounds + 1):
-        tables.append(
-            f"""{name}_a{r} AS MATERIALIZED (
-  SELECT element, a / sum(a) OVER () AS a FROM (
-    SELECT c.other AS element, sum(h) AS a FROM {counts} c JOIN {name}_h{r - 1} p ON c.element = p.element GROUP BY c.other)),
-{name}_h{r} AS MATERIALIZED (
-  SELECT element, h / sum(h) OVER () AS h FROM (
-    SELECT c.element, sum(a) AS h FROM {counts} c JOIN {name}_a{r} p ON c.other = p.element GROUP BY c.element))"""
-        )
-    tables.append(
-        f"""{name} AS (
-  SELECT element, round(h, 8) AS hubs, round(a, 8) AS authorities FROM {name}_h{rounds} JOIN {name}_a{rounds} USING (element))"""
-    )
-    return ",\n".join(tables)
+    return f"""{name}_edges AS MATERIALIZED (SELECT element, other FROM {counts}),
+{name}_rounds AS (
+  SELECT 0 AS r, element, 1.0::DOUBLE AS h FROM (SELECT DISTINCT element FROM {counts})
+  UNION ALL
+  SELECT r + 1, element, h / sum(h) OVER () FROM (
+    SELECT any_value(r) AS r, e.element, sum(a) AS h FROM {name}_edges e JOIN (
+      SELECT any_value(r) AS r, c.other AS node, sum(h) AS a
+      FROM {name}_rounds p JOIN {name}_edges c ON c.element = p.element WHERE r < {rounds} GROUP BY c.other) ON e.other = node
+    GROUP BY e.element)),
+{name}_last AS MATERIALIZED (SELECT element, h FROM {name}_rounds WHERE r = {rounds}),
+{name}_along AS MATERIALIZED (
+  SELECT c.other AS element, sum(h) AS a FROM {name}_last p JOIN {name}_edges c ON c.element = p.element GROUP BY c.other),
+{name} AS MATERIALIZED (
+  SELECT element, round(h, 8) AS hubs, round(a / (SELECT sum(a) FROM {name}_along), 8) AS authorities
+  FROM {name}_last JOIN {name}_along USING (element))"""
 
 
 ORACLES["entity_mentions"] = _with(*_GRAPH, select="SELECT seq, element FROM mentions")

@@ -18,7 +18,7 @@ PAGERANK_ROUNDS = 175
 HITS_ROUNDS = 1000
 
 # Rounds computed in one job before the ranks are stored.
-STRIDE = 5
+STRIDE = 8
 
 # Patterns tested per generated expression.
 PATTERN_CHUNK = 100
@@ -173,8 +173,9 @@ def pagerank(
 
     Runs ``rounds`` rounds, or stops at a stored round once ranks moved by less than ``tolerance``
     (L1) since the one before. Ranks are stored every ``stride`` rounds, which keeps plans short
-    and lets a lost executor be replaced. ``nodes`` adds nodes without edges; nodes without
-    out-edges spread their rank evenly.
+    and lets a lost executor be replaced. ``nodes`` adds nodes without edges. Nodes without out-edges spread
+    their rank evenly: that adds the same to every node, so the ranks are those of the rounds without
+    it, scaled to the sum of 1.
     """
     named = _ends(edges) if nodes is None else _ends(edges).union(nodes.select("node"))
     degrees = edges.groupBy(F.col("src").alias("node")).agg(F.count("*").alias("degree"))
@@ -185,23 +186,18 @@ def pagerank(
     # an edge of weight 0 to itself keeps a node without in-edges in every round
     anchors = table.select(F.col("node").alias("src"), F.col("node").alias("dst"), F.lit(0.0).alias("weight"))
     stored = cut(weighted.select("src", "dst", "weight").unionByName(anchors))
-    sinks, dangling = cut_counted(table.where("degree is null").select("node"))
+    dangling = table.where("degree is null").limit(1).count()
     values = table.select("node", F.lit(1.0 / n).alias("value"))
     before = values
-    if dangling:
-        # the lost rank is read next to the join, so an unstored round would be planned twice
-        stride = 1
     for number in range(1, rounds + 1):
-        base = F.lit((1 - damping) / n)
-        if dangling:
-            lost = measured_join(values, sinks, ["node"], "left_semi").agg(F.coalesce(F.sum("value"), F.lit(0.0)))
-            base = base + damping / n * lost.scalar()
-        values = _spread(stored, values, n).select("node", (base + damping * F.col("value")).alias("value"))
+        values = _spread(stored, values, n).select("node", (F.lit((1 - damping) / n) + damping * F.col("value")).alias("value"))
         if number % stride == 0 or number == rounds:
             values = cut(values)
             if tolerance is not None and _moved(before, values) < tolerance:
                 break
             before = values
+    if dangling:
+        values = _unit_sum(values)
     return values.select("node", F.col("value").alias("rank"))
 
 
