@@ -290,15 +290,23 @@ def _all_hits(spark, sf_dir):
             "tfidf": ss.cosine_search(queries, docs, vocab, terms, ps.tfidf_weights),
             "boolean": ss.cosine_search(queries, docs, vocab, terms, ps.boolean_weights),
             "word_embedding": cosine_topk(embed(queries, "query_id"), embed(docs, "doc_id")),
-            "fulltext": ss.fulltext_search(queries, docs, fuzzy=False),
+            "sentence_embedding": _stored_vector_search(spark, sf_dir, queries, docs),
+            "fulltext": ss.fulltext_search(queries, docs),
         }
     )
-    return ss.attach_documents(hits, docs, ["label"])
+    return ss.attach_couplets(hits, docs)
+
+
+def _stored_vector_search(spark, sf_dir, queries, docs):
+    """Texts by their stored vectors: a text's vector has the text's number."""
+    vectors = inputs.vectors(spark, sf_dir).select("doc_id", "vec")
+    asked = vectors.withColumnRenamed("doc_id", "query_id").join(queries.select("query_id"), "query_id", "left_semi")
+    return cosine_topk(asked, vectors.join(docs.select("doc_id"), "doc_id", "left_semi"))
 
 
 @entry
 def search_all_methods(spark, sf_dir):
-    return _all_hits(spark, sf_dir).select("query_id", "method", "rank", "doc_id", "label", "score")
+    return _all_hits(spark, sf_dir).select("query_id", "method", "rank", "doc_id", "label", "half1", "half2", "score")
 
 
 # ---------------------------------------------------------------- query expansion
@@ -570,7 +578,7 @@ def retrieve(spark, sf_dir):
     lists = ss.hits_by_method(_all_hits(spark, sf_dir))
     methods = lists.select("query_id", F.explode("results").alias("method", "_hits"))
     flat = methods.select("query_id", "method", F.explode("_hits").alias("_h"))
-    return flat.select("query_id", "method", "_h.rank", "_h.doc_id", "_h.label", "_h.score")
+    return flat.select("query_id", "method", "_h.rank", "_h.doc_id", "_h.label", "_h.half1", "_h.half2", "_h.score")
 
 
 @entry

@@ -351,9 +351,7 @@ ORACLES["fuzzy_expand"] = _with(
     select="SELECT term, match, edits::INT AS edits, count FROM expanded",
 )
 
-ORACLES["fuzzy_search"] = _with(
-    *_FULLTEXT,
-    _MISSPELT,
+_FUZZY_HITS = [
     *_query_words("queries"),
     _LEXICON,
     *_expanded("qwords", "known_words"),
@@ -366,8 +364,9 @@ ORACLES["fuzzy_search"] = _with(
   FROM qwords JOIN boosts USING (word) JOIN ft ON match = ft.term GROUP BY query_id, doc_id""",
         10,
     ),
-    select=_hits_with_label("fuzzy_hits"),
-)
+]
+
+ORACLES["fuzzy_search"] = _with(*_FULLTEXT, _MISSPELT, *_FUZZY_HITS, select=_hits_with_label("fuzzy_hits"))
 
 _DIMENSIONS = "generate_series(1, 64)"
 _MEANS = f"""parts AS MATERIALIZED (
@@ -407,18 +406,35 @@ ORACLES["word_embedding_search"] = _with(
     *_FIT, _QUERIES, *_WORD_EMBEDDING_HITS, select=_hits_with_label("embedding_hits")
 )
 
+_STORED_VECTOR_HITS = [
+    """cells AS MATERIALIZED (
+  SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings)""",
+    _ranked(
+        "stored_hits",
+        """SELECT q.vec_id AS query_id, d.vec_id AS doc_id,
+    sum(q.x * d.x) / (sqrt(sum(q.x * q.x)) * sqrt(sum(d.x * d.x)) + 1e-10) AS s
+  FROM cells q JOIN cells d USING (i)
+  WHERE q.vec_id IN (SELECT query_id FROM queries) AND d.vec_id IN (SELECT doc_id FROM documents) GROUP BY q.vec_id, d.vec_id""",
+        20,
+    ),
+]
+
+_HALF = r"regexp_replace(split_part(text, ' - ', {}), '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g') AS half{}"
+
 ORACLES["search_all_methods"] = _with(
     *_FIT,
     *_QUERY_TF,
     *_TFIDF_HITS,
     *_BOOLEAN_HITS,
     *_WORD_EMBEDDING_HITS,
+    *_STORED_VECTOR_HITS,
     *_FULLTEXT,
-    *_BM25_HITS,
+    *_FUZZY_HITS,
     """united AS (
   SELECT 'tfidf' AS method, * FROM tfidf_hits UNION ALL SELECT 'boolean', * FROM boolean_hits
-  UNION ALL SELECT 'word_embedding', * FROM embedding_hits UNION ALL SELECT 'fulltext', * FROM bm25_hits)""",
-    select="""SELECT query_id, method, rank::INT AS rank, doc_id, source AS label, score
+  UNION ALL SELECT 'word_embedding', * FROM embedding_hits UNION ALL SELECT 'sentence_embedding', * FROM stored_hits
+  UNION ALL SELECT 'fulltext', * FROM fuzzy_hits)""",
+    select=f"""SELECT query_id, method, rank::INT AS rank, doc_id, source AS label, {_HALF.format(1, 1)}, {_HALF.format(2, 2)}, score
 FROM united JOIN documents USING (doc_id)""",
 )
 ORACLES["retrieve"] = ORACLES["search_all_methods"]

@@ -25,7 +25,7 @@ PATTERN_CHUNK = 100
 
 # Runs of word characters; a name made of word characters only lies within one run.
 _RUN = r"[\p{L}\p{N}_]+"
-_PLAIN_NAMES = r"^[\p{L}\p{N}_]+(\|[\p{L}\p{N}_]+)*$"
+PLAIN_NAMES = r"^[\p{L}\p{N}_]+(\|[\p{L}\p{N}_]+)*$"
 
 
 def distinct_entities(entities: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
@@ -86,7 +86,7 @@ def entity_mentions(docs: DataFrame, entities: DataFrame, key: str = "seq", text
     """
     text = F.col("text") if text is None else text
     stored = entities.select("entity_id", "regex")
-    plain = F.col("regex").rlike(_PLAIN_NAMES)
+    plain = F.col("regex").rlike(PLAIN_NAMES)
     names = stored.where(plain).select("entity_id", F.explode(F.split("regex", r"\|")).alias("name")).distinct()
     found = _name_matches(docs, names, key, text)
     others = stored.where(~plain).select("entity_id", "regex").collect()

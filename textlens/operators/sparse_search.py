@@ -14,6 +14,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textlens.functions.text import split_halves
 from textlens.operators import postings as ps
 from textlens.operators.fuzzy import fuzzy_expand
 from textlens.operators.joins import BROADCAST_ROWS, measured_join, top_per_key
@@ -128,9 +129,9 @@ def fulltext_search(
         known = vocab.select(F.col("term").alias("word"), F.col("tf_total").alias("count"), "df")
         expansions = fuzzy_expand(words.select("word").distinct(), known, metric=metric)
     else:
-        exact = vocab.join(words.select(F.col("word").alias("term")).distinct(), "term")
+        exact = measured_join(vocab, words.select(F.col("word").alias("term")).distinct(), ["term"])
         expansions = exact.select("term", F.col("term").alias("match"), F.lit(0).alias("edits"), "df")
-    return score_topk(weights, fulltext_query_weights(words, expansions, documents), k, digits, key)
+    return score_topk(weights, fulltext_query_weights(words, cut(expansions), documents), k, digits, key)
 
 
 def fulltext_query_weights(words: DataFrame, expansions: DataFrame, documents: int) -> DataFrame:
@@ -145,7 +146,7 @@ def fulltext_query_weights(words: DataFrame, expansions: DataFrame, documents: i
         F.col("match").alias("term"),
         (closeness * ps.bm25_idf(F.col("_df"), F.lit(documents))).alias("_boost"),
     )
-    return words.join(boosts, "word").groupBy("query_id", "term").agg(F.sum(F.col("n") * F.col("_boost")).alias("w"))
+    return measured_join(words, boosts, ["word"]).groupBy("query_id", "term").agg(F.sum(F.col("n") * F.col("_boost")).alias("w"))
 
 
 def attach_documents(hits: DataFrame, docs: DataFrame, columns: Sequence[str], key: str = "doc_id") -> DataFrame:
@@ -153,6 +154,13 @@ def attach_documents(hits: DataFrame, docs: DataFrame, columns: Sequence[str], k
     return measured_join(docs.select(key, *columns), hits, [key])
 
 
+def attach_couplets(hits: DataFrame, docs: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Hits with the document's label and the two halves of its text, which is what a reader sees (Q8)."""
+    found = attach_documents(hits, docs, ["label", "text"], key)
+    halves = {f"half{n}": split_halves(F.col("text"), n) for n in (1, 2)}
+    return found.withColumns(halves).drop("text")
+
+
 def merge_topk(partial_hits: DataFrame, k: int, key: str = "doc_id") -> DataFrame:
     """Best ``k`` per query of hit lists from several batches (Q7); documents are keys, not offsets."""
     return top_per_key(partial_hits.drop("rank"), ["query_id"], [F.desc("score"), F.asc(key)], k)
