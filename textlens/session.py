@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,9 +45,32 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_recorders: list[list[str]] = []
+
+
+@contextmanager
+def scratch_paths() -> Iterator[list[str]]:
+    """The scratch paths handed out inside the block, so that a caller can delete the tables once it is done with them."""
+    made: list[str] = []
+    _recorders.append(made)
+    try:
+        yield made
+    finally:
+        _recorders.remove(made)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared checkpoint folder."""
-    return f"{checkpoint_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    for made in _recorders:
+        made.append(path)
+    return path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def cut(frame: DataFrame) -> DataFrame:
