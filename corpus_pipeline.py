@@ -7,13 +7,14 @@ calls one operator of :mod:`textlens.llm`. All but the last return the columns o
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textlens.llm import language, mixing, near, packing, suffixes
 from textlens.llm.queries import CONTEXT, LANGUAGES, op2_rows, tokenizer_path
-from textlens.session import scratch_path
+from textlens.session import delete_path, scratch_path, scratch_paths
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -22,6 +23,25 @@ def _documents(docs: DataFrame) -> DataFrame:
     return docs.select(*COLUMNS)
 
 
+_spent: list[str] = []
+
+
+def _stage(function: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """A stage that first deletes the scratch tables of the stage before, whose result has been written by now."""
+
+    @wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        for path in _spent:
+            delete_path(spark, path)
+        with scratch_paths() as made:
+            result = function(spark, docs, sf_dir)
+        _spent[:] = made
+        return result
+
+    return run_stage
+
+
+@_stage
 def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages; the rest go. The text model is fitted on the labels of ``docs``."""
     table = language.fit_trigrams(docs, LANGUAGES)
@@ -30,11 +50,13 @@ def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return _documents(found.where("accepted"))
 
 
+@_stage
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates, the one of the least id."""
     return _documents(near.keep_one_of_each(docs))
 
 
+@_stage
 def without_earlier_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the 50-byte strings of earlier documents; ``n_chars`` counts what stays.
 
@@ -44,11 +66,13 @@ def without_earlier_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     return _documents(kept.mapInArrow(suffixes.kept_texts, docs.select(*COLUMNS).schema))
 
 
+@_stage
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated towards the target shares of their sources, in random order."""
     return _documents(mixing.poisson_mix(docs))
 
 
+@_stage
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of 1,024 tokens."""
     return op2_rows(packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json")))

@@ -18,6 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from textlens.llm.batches import release
 from textlens.llm.tokens import encoder
 from textlens.operators.joins import measured_join
 from textlens.session import scratch_path
@@ -158,6 +159,7 @@ def _cut_up(path: str, end_id: int, window: int, grain: int, key: str):
                     columns.append(pa.array(places, pa.int64()))
                     yield pa.RecordBatch.from_arrays(columns, [key, "start", "length", "doc_tokens", "ids", "part", "bin", "number"])
                     rows, size = [], 0
+        release()
 
     return run
 

@@ -13,6 +13,7 @@ import json
 import os
 import re
 from array import array
+from functools import cached_property
 
 import numpy as np
 
@@ -56,9 +57,7 @@ class TextEncoder:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+        self.path = path
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         self.special = [t["content"] for t in spec.get("added_tokens") or []]
@@ -73,6 +72,12 @@ class TextEncoder:
             self.pieces, self.chunks = _Memory(self._piece, CACHED_PIECES), _Memory(self._chunk, CACHED_CHUNKS)
         self.words = bool(pattern)
 
+    @cached_property
+    def tokenizer(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def _whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
