@@ -23,8 +23,8 @@ from textlens.session import cut, cut_counted, store
 # Tables of buckets or nodes up to this number of rows are broadcast, some 50 bytes a row.
 BROADCAST_ROWS = 100_000
 
-# Rows of the tables that rounds work on, per partition.
-PART_ROWS = 20_000
+# Leaders of a bucket in the second round; each further round takes as many times more.
+LEADERS = 16
 
 # Entries of the table of random draws.
 DRAWS_BITS = 16
@@ -208,41 +208,31 @@ def _verify(least: float):
     return run
 
 
-def _small(frame: DataFrame, parts: int) -> tuple[DataFrame, int]:
-    """Stored rows in few partitions, and their number: rounds work on tables far smaller than the corpus."""
-    stored, rows = cut_counted(frame.coalesce(parts))
-    return stored, rows
-
-
-def _links(pairs: DataFrame, rows: int, texts: DataFrame, least: float, parts: int) -> DataFrame:
+def _links(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """Pairs of nodes whose weighted similarity reaches ``least``; only texts that are in a pair are moved."""
+    pairs, rows = cut_counted(pairs)
     sides = []
     for side, name in (("a", "left"), ("b", "right")):
         wanted = pairs.select(F.col(side).alias("node")).distinct()
         held = measured_join(texts, wanted, ["node"], "left_semi", BROADCAST_ROWS, rows)
         sides.append(held.select(F.col("node").alias(side), F.col("weighed").alias(name)))
     met = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "left", "right")
-    found = met.mapInArrow(_verify(least), "a binary, b binary, linked boolean").select("a", "b")
-    return _small(found, parts)[0]
+    return met.mapInArrow(_verify(least), "a binary, b binary, linked boolean").select("a", "b")
 
 
-def components(links: DataFrame, parts: int = 1) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """``(node, label)`` of all linked nodes: the least node of each connected component.
 
     Labels go to neighbours and then to the label's own label until nothing changes, so a round halves
     long chains; each round is written to the checkpoint folder.
     """
-    both, _ = _small(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), parts)
-    first = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label"))
-    labels, nodes = _small(first.withColumn("label", F.least("node", "label")), parts)
+    both = cut(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    labels = cut(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label")).withColumn("label", F.least("node", "label")))
     while True:
-        met = measured_join(both, labels.select(F.col("node").alias("b"), "label"), ["b"], limit_rows=BROADCAST_ROWS, rows=nodes)
-        near, _ = _small(met.groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near")), parts)
-        lower = measured_join(labels, near, ["node"], limit_rows=BROADCAST_ROWS, rows=nodes)
-        lower = lower.select("node", F.col("label").alias("before"), F.least("label", "near").alias("label"))
+        near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
+        lower = labels.join(near, "node").select("node", F.col("label").alias("before"), F.least("label", "near").alias("label"))
         jump = lower.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        jumped = measured_join(lower, jump, ["label"], "left", BROADCAST_ROWS, nodes)
-        moved, _ = _small(jumped.select("node", "before", F.least("label", F.coalesce("further", "label")).alias("label")), parts)
+        moved = cut(lower.join(jump, "label", "left").select("node", "before", F.least("label", F.coalesce("further", "label")).alias("label")))
         changed = moved.where(F.col("before") != F.col("label")).limit(1).count()
         labels = moved.select("node", "label")
         if not changed:
@@ -258,7 +248,7 @@ def _members(named: DataFrame) -> DataFrame:
     shared = named.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     met = store(measured_join(named, shared, ["bucket"], limit_rows=BROADCAST_ROWS), "buckets")
     met_by = met.groupBy("node").agg(F.struct((-F.sum("n")).alias("met"), F.col("node").alias("node")).alias("turn"))
-    return cut(measured_join(met.select("bucket", "node"), met_by, ["node"], limit_rows=BROADCAST_ROWS))
+    return store(measured_join(met.select("bucket", "node"), met_by, ["node"], limit_rows=BROADCAST_ROWS), "members")
 
 
 def _star(members: DataFrame) -> DataFrame:
@@ -268,10 +258,8 @@ def _star(members: DataFrame) -> DataFrame:
     return met.where(F.col("node") != F.col("a")).select("a", F.col("node").alias("b")).distinct()
 
 
-def _open_pairs(
-    members: DataFrame, labels: DataFrame, led: DataFrame | None, leaders: int, parts: int = 1
-) -> tuple[DataFrame, int, DataFrame]:
-    """Next leaders of the buckets that hold several components, their number, and their pairs with members of other components.
+def _open_pairs(members: DataFrame, labels: DataFrame, led: DataFrame | None, leaders: int) -> tuple[DataFrame, DataFrame]:
+    """Next leaders of the buckets that hold several components, and their pairs with members of other components.
 
     Two members of different components have been compared once either has led the bucket, so those
     who led are not met again, and the members of a bucket's largest component need not lead.
@@ -279,18 +267,17 @@ def _open_pairs(
     named = measured_join(members, labels, ["node"], "left", BROADCAST_ROWS).withColumn("label", F.coalesce("label", "node"))
     sizes = named.groupBy("bucket", "label").agg(F.count("*").alias("n"))
     kinds = sizes.groupBy("bucket").agg(F.count("*").alias("kinds"), F.max_by("label", F.struct("n", "label")).alias("largest"))
-    several, rows = _small(kinds.where("kinds > 1").drop("kinds"), parts)
-    mixed = measured_join(named, several, ["bucket"], limit_rows=BROADCAST_ROWS, rows=rows)
+    mixed = measured_join(named, kinds.where("kinds > 1").drop("kinds"), ["bucket"], limit_rows=BROADCAST_ROWS)
     if led is not None:
         mixed = measured_join(mixed, led, ["bucket", "node"], "left_anti", BROADCAST_ROWS)
-    mixed, _ = _small(mixed, parts)
+    mixed = store(mixed, "mixed")
     order = Window.partitionBy("bucket").orderBy("turn")
     waiting = mixed.where(F.col("label") != F.col("largest")).withColumn("_n", F.row_number().over(order))
-    chosen, count = _small(waiting.where(F.col("_n") <= leaders).select("bucket", "node", "label"), parts)
+    chosen = cut(waiting.where(F.col("_n") <= leaders).select("bucket", "node", "label"))
     other = chosen.select("bucket", F.col("node").alias("leader"), F.col("label").alias("own"))
-    met = measured_join(mixed, other, ["bucket"], "inner", BROADCAST_ROWS, count).where(F.col("label") != F.col("own"))
+    met = measured_join(mixed, other, ["bucket"], limit_rows=BROADCAST_ROWS).where(F.col("label") != F.col("own"))
     pairs = met.select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")).distinct()
-    return chosen.select("bucket", "node"), count, pairs
+    return chosen.select("bucket", "node"), pairs
 
 
 def _classes(batches: DataFrame, key: str, text: str, words: int, least: float, bands: int, rows_per_band: int, share: float) -> DataFrame:
@@ -306,17 +293,15 @@ def _classes(batches: DataFrame, key: str, text: str, words: int, least: float,
     members = _members(named)
     texts = sketches.where(F.col("weighed").isNotNull()).groupBy("node").agg(F.first("weighed").alias("weighed"))
     texts = store(texts.join(members.select("node").distinct(), "node", "left_semi"), "texts")
-    parts = members.count() // PART_ROWS + 1
-    members = members.coalesce(parts)
-    links = _links(*_small(_star(members), parts), texts, least, parts)
-    labels, led, leaders = components(links, parts), None, 1
+    links = cut(_links(_star(members), texts, least))
+    labels, led, leaders = components(links), None, LEADERS
     while True:
-        chosen, count, pairs = _open_pairs(members, labels, led, leaders, parts)
-        if not count:
+        chosen, pairs = _open_pairs(members, labels, led, leaders)
+        if not chosen.limit(1).count():
             break
-        led = chosen if led is None else led.union(chosen)
-        links = links.union(_links(*_small(pairs, parts), texts, least, parts))
-        labels, leaders = components(links, parts), leaders * 2
+        led = chosen if led is None else cut(led.union(chosen))
+        links = cut(links.union(_links(pairs, texts, least)))
+        labels, leaders = components(links), leaders * LEADERS
     rows = sketches.select("batch", "row", "rank", "node")
     # a row without a node is a class of its own
     alone = rows.where(F.col("node").isNull()).select("batch", "row", "rank", F.col("rank").alias("class"), F.lit(True).alias("first"))
