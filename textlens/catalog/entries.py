@@ -24,7 +24,7 @@ from textlens.operators.ordering import dense_index
 from textlens.operators.rows import unnest
 from textlens.plans.index import build_index
 from textlens.plans.retrieve import answer_queries
-from textlens.session import cut, scratch_path
+from textlens.session import cut, scratch_path, store
 from textlens.sources.vectors import read_word_vectors, write_word_vectors
 from textlens.streaming.arrivals import answer_arrivals
 
@@ -601,11 +601,16 @@ def retrieve_response(spark, sf_dir):
 
 @entry
 def score_query_stream(spark, sf_dir):
-    """Benchmark texts arriving as a file stream, each batch answered by tf-idf search."""
+    """Benchmark texts arriving as a file stream, each batch answered by tf-idf search of stored weights."""
     docs = inputs.documents(spark, sf_dir)
     terms = _terms(docs)
     vocab = ss.fit_vocabulary(docs, terms)
     source = spark.readStream.schema("item_id long, text string").option("pathGlobFilter", "benchmark.parquet")
     arrivals = source.parquet(sf_dir).select(F.col("item_id").alias("query_id"), "text")
-    answers = answer_arrivals(arrivals, lambda batch: ss.cosine_search(batch, docs, vocab, terms))
+    weights = store(ps.tfidf_weights(docs, terms, vocab).select("doc_id", "term", "w"), "weights")
+
+    def answer(batch: DataFrame) -> DataFrame:
+        return ss.score_topk(weights, ps.tfidf_weights(batch, terms, vocab, "query_id"), ss.VECTOR_LIMIT)
+
+    answers = answer_arrivals(arrivals, answer)
     return answers.select("query_id", "rank", "doc_id", "score")
