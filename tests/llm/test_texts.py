@@ -151,11 +151,11 @@ def test_samples_estimate_the_similarity():
 
 def test_leaders_find_what_the_first_misses(spark):
     name = lambda i: bytes([i]) * 16
-    members = near._members(spark.createDataFrame([(1, name(i)) for i in range(5)] + [(2, name(9))], "bucket long, node binary"))
+    members = near._members(spark.createDataFrame([(1, name(i), 1.0) for i in range(5)] + [(2, name(9), 1.0)], "bucket long, node binary, weight double"))
     labels = spark.createDataFrame([(name(0), name(0)), (name(1), name(0))], "node binary, label binary")
     compared, led, leaders = {(name(0), name(i)) for i in range(1, 5)}, None, 1
     for _ in range(10):
-        chosen, pairs = near._open_pairs(members, labels, led, leaders)
+        chosen, pairs = near._open_pairs(members, labels, led, leaders, 0.8)
         if not chosen.count():
             break
         compared |= {(bytes(r["a"]), bytes(r["b"])) for r in pairs.collect()}

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textlens.llm import batches as bt
@@ -24,7 +24,7 @@ from textlens.session import cut, cut_counted, store
 BROADCAST_ROWS = 100_000
 
 # Leaders of a bucket in the second round; each further round takes as many times more.
-LEADERS = 16
+LEADERS = 4
 
 # Entries of the table of random draws.
 DRAWS_BITS = 16
@@ -121,14 +121,16 @@ def weighted_samples(found: np.ndarray, weights: np.ndarray, ends: np.ndarray, s
     return out
 
 
-_SKETCH = "batch long, row int, rank long, node binary, bands array<long>, weighed binary"
+_SKETCH = "batch long, row int, rank long, node binary, bands array<long>, weight double, weighed binary"
 
 
-def _sketched(number: int, rows: np.ndarray, ranks: np.ndarray, nodes=None, bands=None, blobs=None) -> pa.RecordBatch:
+def _sketched(number: int, rows: np.ndarray, ranks: np.ndarray, nodes=None, bands=None, sums=None, blobs=None) -> pa.RecordBatch:
     size = len(rows)
     columns = [pa.array(np.full(size, number)), pa.array(rows.astype(np.int32)), pa.array(ranks), pa.array(nodes or [None] * size, pa.binary())]
-    columns += [bands if bands is not None else pa.nulls(size, pa.list_(pa.int64())), pa.array(blobs or [None] * size, pa.binary())]
-    return pa.RecordBatch.from_arrays(columns, ["batch", "row", "rank", "node", "bands", "weighed"])
+    columns.append(bands if bands is not None else pa.nulls(size, pa.list_(pa.int64())))
+    columns.append(pa.array(sums) if sums is not None else pa.nulls(size, pa.float64()))
+    columns.append(pa.array(blobs or [None] * size, pa.binary()))
+    return pa.RecordBatch.from_arrays(columns, ["batch", "row", "rank", "node", "bands", "weight", "weighed"])
 
 
 def _sketch(key: str, text: str, words: int, documents: int, least: float, share: float, bands: int, rows_per_band: int):
@@ -156,6 +158,7 @@ def _sketch(key: str, text: str, words: int, documents: int, least: float, share
                 part_ends = np.r_[0, np.cumsum(lengths)]
                 at = np.arange(part_ends[-1]) - np.repeat(part_ends[:-1], lengths) + np.repeat(ends[chosen], lengths)
                 part, heavy = found[at], weights[at]
+                sums = np.add.reduceat(heavy, part_ends[:-1])
                 drawn = weighted_samples(part, heavy, part_ends, bands * rows_per_band)
                 drawn = drawn.reshape(len(chosen), bands, rows_per_band)
                 band_keys = np.zeros((len(chosen), bands), dtype=np.uint64) + np.arange(1, bands + 1, dtype=np.uint64)
@@ -172,7 +175,7 @@ def _sketch(key: str, text: str, words: int, documents: int, least: float, share
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, bands * len(chosen) + 1, bands, dtype=np.int32)), pa.array(band_keys.ravel().view(np.int64)))
                 for begin in range(0, len(chosen), 500):
                     part = slice(begin, begin + 500)
-                    yield _sketched(number, chosen[part], keys[chosen[part]], nodes[part], lists[part], blobs[part])
+                    yield _sketched(number, chosen[part], keys[chosen[part]], nodes[part], lists[part], sums[part], blobs[part])
         bt.release()
 
     return run
@@ -240,7 +243,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _members(named: DataFrame) -> DataFrame:
-    """``(bucket, turn, node)`` of buckets with several nodes.
+    """``(bucket, turn, node, weight)`` of buckets with several nodes.
 
     ``turn`` orders leaders: first the nodes whose buckets hold most members, as the text that others were copied from
     agrees with each of them in more bands than they do with each other.
@@ -248,21 +251,29 @@ def _members(named: DataFrame) -> DataFrame:
     shared = named.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     met = store(measured_join(named, shared, ["bucket"], limit_rows=BROADCAST_ROWS), "buckets")
     met_by = met.groupBy("node").agg(F.struct((-F.sum("n")).alias("met"), F.col("node").alias("node")).alias("turn"))
-    return store(measured_join(met.select("bucket", "node"), met_by, ["node"], limit_rows=BROADCAST_ROWS), "members")
+    return store(measured_join(met.select("bucket", "node", "weight"), met_by, ["node"], limit_rows=BROADCAST_ROWS), "members")
 
 
-def _star(members: DataFrame) -> DataFrame:
+def _alike(one: str, other: str, least: float) -> Column:
+    """Whether two weights allow the least similarity: it is at most their quotient."""
+    return F.least(one, other) >= F.greatest(one, other) * F.lit(least - 1e-6)
+
+
+def _star(members: DataFrame, least: float) -> DataFrame:
     """Each member of a bucket beside the bucket's first one."""
-    first = members.groupBy("bucket").agg(F.min("turn").alias("first")).select("bucket", F.col("first.node").alias("a"))
+    first = members.groupBy("bucket").agg(F.min(F.struct("turn", F.col("weight").alias("own"))).alias("first"))
+    first = first.select("bucket", F.col("first.turn.node").alias("a"), F.col("first.own").alias("own"))
     met = measured_join(members, first, ["bucket"], limit_rows=BROADCAST_ROWS)
-    return met.where(F.col("node") != F.col("a")).select("a", F.col("node").alias("b")).distinct()
+    return met.where((F.col("node") != F.col("a")) & _alike("weight", "own", least)).select("a", F.col("node").alias("b")).distinct()
 
 
-def _open_pairs(members: DataFrame, labels: DataFrame, led: DataFrame | None, leaders: int) -> tuple[DataFrame, DataFrame]:
+def _open_pairs(
+    members: DataFrame, labels: DataFrame, led: DataFrame | None, leaders: int, least: float
+) -> tuple[DataFrame, DataFrame]:
     """Next leaders of the buckets that hold several components, and their pairs with members of other components.
 
-    Two members of different components have been compared once either has led the bucket, so those
-    who led are not met again, and the members of a bucket's largest component need not lead.
+    Two members of different components have been compared once either has led the bucket, or their weights alone
+    rule a link out, so those who led are not met again, and the members of a bucket's largest component need not lead.
     """
     named = measured_join(members, labels, ["node"], "left", BROADCAST_ROWS).withColumn("label", F.coalesce("label", "node"))
     sizes = named.groupBy("bucket", "label").agg(F.count("*").alias("n"))
@@ -273,9 +284,10 @@ def _open_pairs(members: DataFrame, labels: DataFrame, led: DataFrame | None, le
     mixed = store(mixed, "mixed")
     order = Window.partitionBy("bucket").orderBy("turn")
     waiting = mixed.where(F.col("label") != F.col("largest")).withColumn("_n", F.row_number().over(order))
-    chosen = cut(waiting.where(F.col("_n") <= leaders).select("bucket", "node", "label"))
-    other = chosen.select("bucket", F.col("node").alias("leader"), F.col("label").alias("own"))
-    met = measured_join(mixed, other, ["bucket"], limit_rows=BROADCAST_ROWS).where(F.col("label") != F.col("own"))
+    chosen = cut(waiting.where(F.col("_n") <= leaders).select("bucket", "node", "label", "weight"))
+    other = chosen.select("bucket", F.col("node").alias("leader"), F.col("label").alias("of"), F.col("weight").alias("own"))
+    met = measured_join(mixed, other, ["bucket"], limit_rows=BROADCAST_ROWS)
+    met = met.where((F.col("label") != F.col("of")) & _alike("weight", "own", least))
     pairs = met.select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")).distinct()
     return chosen.select("bucket", "node"), pairs
 
@@ -289,14 +301,14 @@ def _classes(batches: DataFrame, key: str, text: str, words: int, least: float,
     path = bt.scratch_path(spark, "sketches")
     counted.mapInArrow(sketch, _SKETCH).write.option("compression", "zstd").parquet(path)
     sketches = spark.read.schema(_SKETCH).parquet(path)
-    named = store(sketches.select("node", F.explode("bands").alias("bucket")).distinct(), "named")
+    named = store(sketches.select("node", "weight", F.explode("bands").alias("bucket")).dropDuplicates(["node", "bucket"]), "named")
     members = _members(named)
     texts = sketches.where(F.col("weighed").isNotNull()).groupBy("node").agg(F.first("weighed").alias("weighed"))
     texts = store(texts.join(members.select("node").distinct(), "node", "left_semi"), "texts")
-    links = cut(_links(_star(members), texts, least))
+    links = cut(_links(_star(members, least), texts, least))
     labels, led, leaders = components(links), None, LEADERS
     while True:
-        chosen, pairs = _open_pairs(members, labels, led, leaders)
+        chosen, pairs = _open_pairs(members, labels, led, leaders, least)
         if not chosen.limit(1).count():
             break
         led = chosen if led is None else cut(led.union(chosen))
@@ -320,14 +332,14 @@ def near_duplicates(
     text: str = "text",
     words: int = 5,
     least: float = 0.8,
-    bands: int = 16,
-    rows_per_band: int = 5,
+    bands: int = 24,
+    rows_per_band: int = 7,
     share: float = 0.25,
 ) -> DataFrame:
     """``(key long, class_id long, first boolean)``, one row per row of ``docs``: its class, and whether it is the one to keep.
 
     Texts are linked if the weighted Jaccard similarity of their shingles reaches ``least`` and a band of their samples
-    agrees (with 16 bands of 5, all but 0.2 % of the pairs at 0.8). A shingle weighs its count in the text times
+    agrees (with 24 bands of 7, all but 0.4 % of the pairs at 0.8). A shingle weighs its count in the text times
     1 - ``share`` + ``share`` * idf, idf being ln((1 + N) / (1 + df)) / ln(1 + N): the share is small so
     that what a large group of copies has in common does not lose its weight. Classes are connected components
     of links; ``class_id`` is the least key of the class. ``first`` is true for exactly one row of a class, of the least key.
@@ -361,7 +373,7 @@ def _kept_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def keep_one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **settings) -> DataFrame:
     """``docs``, all columns, without the rows that :func:`near_duplicates` marks as not the first of their class."""
     batches = bt.store_batches(docs, text)
-    defaults = {"words": 5, "least": 0.8, "bands": 16, "rows_per_band": 5, "share": 0.25}
+    defaults = {"words": 5, "least": 0.8, "bands": 24, "rows_per_band": 7, "share": 0.25}
     found = _classes(batches, key, text, **(defaults | settings))
     gone = found.where(~F.col("first")).groupBy("batch").agg(F.collect_list("row").alias("gone"))
     shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
