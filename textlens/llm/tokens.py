@@ -17,8 +17,8 @@ from functools import cached_property
 
 import numpy as np
 
-# Chunks and pieces in each of the two generations a worker keeps (about 100 MB together).
-CACHED_CHUNKS = 200_000
+# Chunks and pieces in each of the two generations a worker keeps (about 150 MB together).
+CACHED_CHUNKS = 350_000
 CACHED_PIECES = 50_000
 
 # Characters for which the pattern engines agree and normalisation to composed form changes nothing.
