@@ -182,7 +182,8 @@ def pagerank(
     table, n = cut_counted(named.distinct().join(degrees, "node", "left"))
     if n == 0:
         return table.select("node", F.lit(0.0).alias("rank"))
-    weighted = edges.join(degrees.select(F.col("node").alias("src"), (1 / F.col("degree")).alias("weight")), "src")
+    shares = degrees.select(F.col("node").alias("src"), (1 / F.col("degree")).alias("weight"))
+    weighted = measured_join(edges, shares, ["src"])
     # an edge of weight 0 to itself keeps a node without in-edges in every round
     anchors = table.select(F.col("node").alias("src"), F.col("node").alias("dst"), F.lit(0.0).alias("weight"))
     stored = cut(weighted.select("src", "dst", "weight").unionByName(anchors))

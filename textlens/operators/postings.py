@@ -86,7 +86,7 @@ def vocabulary(counts: DataFrame, size: int | None = VOCABULARY_SIZE) -> DataFra
 
 def top_terms(docs: DataFrame, n: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The ``n`` tokens found in most documents: a stop-word list drawn from the corpus."""
-    words = unnest(docs.select(key, text).repartition(key), F.array_distinct(tx.index_tokens(F.col(text))), "term")
+    words = unnest(docs.select(key, text), F.array_distinct(tx.index_tokens(F.col(text))), "term")
     frequencies = words.groupBy("term").agg(F.count("*").alias("df"))
     return frequencies.orderBy(F.desc("df"), "term").limit(n)
 
