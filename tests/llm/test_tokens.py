@@ -103,8 +103,14 @@ def test_plan_covers_the_histogram():
             for size in kind:
                 used[size] += count
         assert (used == histogram).all()
-        full = sum(c for k, c in zip(plan.kinds, plan.counts) if sum(k) == bins)
-        assert full >= 0.5 * sum(plan.counts) or bins < 32
+
+
+def test_even_lengths_fill_their_sequences():
+    for bins in (8, 32, 128):
+        histogram = np.array([0] + [50] * bins)
+        plan = packing.plan_sequences(histogram)
+        held = sum(sum(k) * c for k, c in zip(plan.kinds, plan.counts))
+        assert held >= 0.95 * bins * sum(plan.counts)
 
 
 def test_nonnegative_least_squares():
