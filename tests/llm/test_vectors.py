@@ -71,6 +71,22 @@ def test_collision_search_recall_and_scores(spark):
     assert np.mean(recall) >= 0.9
 
 
+@pytest.mark.parametrize("longest", [1.0, 2.0])
+def test_collision_search_recall_of_its_defaults(spark, longest):
+    made = np.random.default_rng(4).standard_normal((2000, 64))
+    made /= np.sqrt((made**2).sum(1))[:, None]
+    made[77] *= longest
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(made)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in collision_search.nearest_by_collisions(frame, F.col("vec_id") % 20 == 0).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    recall = []
+    for q, found in got.items():
+        best = [i for i in np.argsort(-(made @ made[q]), kind="stable").tolist() if i != q][:20]
+        recall.append(len(found & set(best)) / 20)
+    assert len(recall) == 100 and np.mean(recall) >= 0.95
+
+
 def test_best_per_query_counts_a_key_once():
     query, key = np.array([0, 0, 0, 0, 1]), np.array([5, 5, 3, 9, 5])
     best = vx.best_per_query(query, key, np.array([7, 9, 9, 1, 2]), 2)
