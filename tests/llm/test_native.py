@@ -128,6 +128,79 @@ def test_license_scan(spark):
     assert licenses.license_scan(_frame(spark, [])).count() == 0
 
 
+SENTENCE_OF = {
+    "spdx-mit": "SPDX-License-Identifier: MIT",
+    "spdx-apache-2": "SPDX-License-Identifier: Apache-2.0",
+    "spdx-gpl-2-plus": "SPDX-License-Identifier: GPL-2.0-or-later",
+    "spdx-gpl-2": "SPDX-License-Identifier: GPL-2.0-only",
+    "spdx-gpl-3-plus": "SPDX-License-Identifier: GPL-3.0-or-later",
+    "spdx-gpl-3": "SPDX-License-Identifier: GPL-3.0-only",
+    "spdx-bsd-3": "SPDX-License-Identifier: BSD-3-Clause",
+    "spdx-bsd-2": "SPDX-License-Identifier: BSD-2-Clause",
+    "spdx-mpl-2": "SPDX-License-Identifier: MPL-2.0",
+    "spdx-isc": "SPDX-License-Identifier: ISC",
+    "copyright-notice": "Copyright (c) 2020 Someone",
+    "all-rights": "All rights reserved.",
+    "apache-ref-2": "Licensed under the Apache License, Version 2.0.",
+    "apache-limits": "You may not use this file except in compliance with the License.",
+    "apache-copy": "You may obtain a copy of the License at http://x",
+    "apache-basis": 'Software distributed under the License is distributed on an "AS IS" BASIS.',
+    "mit-ref": "Released under the terms of the MIT license.",
+    "mit-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy",
+    "mit-notice": "The above copyright notice and this permission notice shall be included",
+    "mit-disclaimer": 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND',
+    "isc-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose",
+    "isc-disclaimer": 'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES',
+    "bsd-grant": "Redistribution and use in source and binary forms, with or without modification",
+    "bsd-source": "Redistributions of source code must retain the above copyright notice",
+    "bsd-binary": "Redistributions in binary form must reproduce the above copyright notice",
+    "bsd-endorse": "The names may be used to endorse or promote products",
+    "bsd-disclaimer": "This software is provided by the holders as is and any express or implied warranties",
+    "bsd-ref": "Available under the BSD license.",
+    "gpl-3-plus": "GNU General Public License as published in version 3 or any later version",
+    "gpl-3": "The GNU General Public License, version 3",
+    "gpl-2-plus": "GNU General Public License as published in version 2 or any later version",
+    "gpl-2": "The GNU General Public License, version 2",
+    "lgpl-ref": "The GNU Lesser General Public License",
+    "agpl-ref": "The GNU Affero General Public License",
+    "gpl-warranty": "without even the implied warranty of MERCHANTABILITY or FITNESS",
+    "mpl-ref-2": "Mozilla Public License, version 2.0",
+    "cc-by-nc-sa-4": "This text is released under CC BY-NC-SA 4.0",
+    "cc-by-nc-nd-4": "This text is available under CC BY-NC-ND 4.0",
+    "cc-by-nc-4": "This text is released under Creative Commons BY-NC 4.0",
+    "cc-by-sa-4": "available under Creative Commons BY-SA 4.0",
+    "cc-by-nd-4": "released under a CC BY-ND 4.0",
+    "cc-by-4": "This dataset is released under CC BY 4.0",
+    "public-domain": "This work is dedicated to the public domain.",
+    "cc-by-nc-sa-4-name": "Under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    "cc-by-nc-nd-4-name": "Under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    "cc-by-nc-4-name": "Under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "cc-by-sa-4-name": "Under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "cc-by-nd-4-name": "Under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    "cc-by-4-name": "Under a Creative Commons Attribution 4.0 International License.",
+}
+
+
+def test_every_known_sentence_is_found(spark):
+    names = [i for i, _ in licenses.SENTENCES + licenses.NAMES]
+    assert sorted(SENTENCE_OF) == sorted(names)
+    rows = [(2 * n, SENTENCE_OF[i], i) for n, i in enumerate(names)]
+    rows += [(2 * n + 1, SENTENCE_OF[i].replace(" ", "\n"), i) for n, i in enumerate(names)]  # a line end at every space
+    found = {r["doc_id"]: r for r in licenses.license_scan(_frame(spark, rows)).collect()}
+    for key, text, name in rows:
+        assert f"<{name}>" in found[key]["sentence_ids"], text
+        if name.startswith("cc-by"):
+            assert (found[key]["licenses"], found[key]["verdict"]) == (name.upper().removesuffix("-4-NAME").removesuffix("-4") + "-4.0", "known")
+
+
+def test_a_name_after_its_short_form_is_one_licence(spark):
+    text = "Released under CC BY-SA 4.0. That is the Creative Commons Attribution-ShareAlike 4.0 International License."
+    docs = _frame(spark, [(1, text, "a"), (2, "My own terms", "a")])
+    assert licenses.license_scan(docs).where("doc_id = 1").first()["licenses"] == "CC-BY-SA-4.0"
+    mine = licenses.license_scan(docs, known=[("mine", "my own terms")], rules=[("Mine", "<mine>")])
+    assert mine.where("doc_id = 2").first()["licenses"] == "Mine"
+
+
 def test_native_plans_have_no_python(spark):
     docs = _frame(spark, [(1, "a", "s")])
     for frame in (licenses.license_scan(docs), mixing.poisson_mix(docs)):

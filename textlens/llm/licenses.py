@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A sentence without any of these words is no known sentence.
+# The SQL of the query looks at sentences with any of these words only, before they are normalised.
 KEYWORDS = "licen[cs]e|copyright|permission|redistribut|warrant|spdx|public domain|rights reserved|software is provided|endorse or promote"
 
 # (identifier, pattern searched in the normalised sentence). A sentence takes every identifier
@@ -96,6 +96,29 @@ RULES: tuple[tuple[str, str], ...] = (
     ("Public-Domain", "<public-domain>"),
 )
 
+# Creative Commons licences by their full names; these and their rules follow the ones above.
+NAMES: tuple[tuple[str, str], ...] = (
+    ("cc-by-nc-sa-4-name", "creative commons attribution non ?commercial share ?alike 4.0"),
+    ("cc-by-nc-nd-4-name", "creative commons attribution non ?commercial no ?deriv(ative)?s 4.0"),
+    ("cc-by-nc-4-name", "creative commons attribution non ?commercial 4.0"),
+    ("cc-by-sa-4-name", "creative commons attribution share ?alike 4.0"),
+    ("cc-by-nd-4-name", "creative commons attribution no ?deriv(ative)?s 4.0"),
+    ("cc-by-4-name", "creative commons attribution 4.0"),
+)
+
+# The short form just before is the same grant.
+NAME_RULES: tuple[tuple[str, str], ...] = (
+    ("CC-BY-NC-SA-4.0", r"(\[CC-BY-NC-SA-4\.0\])?<cc-by-nc-sa-4-name>"),
+    ("CC-BY-NC-ND-4.0", r"(\[CC-BY-NC-ND-4\.0\])?<cc-by-nc-nd-4-name>"),
+    ("CC-BY-NC-4.0", r"(\[CC-BY-NC-4\.0\])?<cc-by-nc-4-name>"),
+    ("CC-BY-SA-4.0", r"(\[CC-BY-SA-4\.0\])?<cc-by-sa-4-name>"),
+    ("CC-BY-ND-4.0", r"(\[CC-BY-ND-4\.0\])?<cc-by-nd-4-name>"),
+    ("CC-BY-4.0", r"(\[CC-BY-4\.0\])?<cc-by-4-name>"),
+)
+
+# Every pattern of SENTENCES and NAMES implies one of these in the normalised sentence (tested one by one).
+TELLING = "licen[cs]e|copyright|permission|redistribut|warrant|public domain|rights reserved|software is provided|endorse or promote|(cc|commons) by|commons attribution"
+
 # Identifiers that name no licence by themselves.
 NEUTRAL = "<copyright-notice>|<all-rights>"
 
@@ -118,8 +141,8 @@ def license_scan(
     docs: DataFrame,
     key: str = "doc_id",
     text: str = "text",
-    known: Sequence[tuple[str, str]] = SENTENCES,
-    rules: Sequence[tuple[str, str]] = RULES,
+    known: Sequence[tuple[str, str]] = SENTENCES + NAMES,
+    rules: Sequence[tuple[str, str]] = RULES + NAME_RULES,
 ) -> DataFrame:
     """``(key, n_sentences, sentence_ids, licenses, left_over, verdict)``, one row per row of ``docs``.
 
@@ -131,8 +154,9 @@ def license_scan(
     shuffle, so repeated rows, ties and hot keys need no care, and other columns are not read.
     """
     cut_up = F.filter(sentences(F.col(text)), lambda s: F.trim(s) != "")
-    telling = F.filter(cut_up, lambda s: F.lower(s).rlike(KEYWORDS))
-    normal = F.transform(telling, normal_sentence)
+    normal = F.transform(cut_up, normal_sentence)
+    if set(known) <= {*SENTENCES, *NAMES}:  # other sentences may hold none of these words
+        normal = F.filter(normal, lambda s: s.rlike(TELLING))
 
     def found(sentence: Column) -> Column:
         return F.array_join(F.array(*[F.when(sentence.rlike(p), F.lit(f"<{i}>")) for i, p in known]), "")
