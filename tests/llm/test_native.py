@@ -4,7 +4,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from textlens.llm import licenses, mixing, units
+from textlens.llm import licenses, mixing, queries, units
 
 DOCS = "doc_id long, text string, source string"
 
@@ -44,6 +44,16 @@ def test_line_dedup(spark):
     assert parts["n_units"] == 2 and parts["text"] == f"{line}\n{other}"
 
 
+def test_line_dedup_of_short_and_unspaced_lines(spark, tmp_path):
+    chinese = "\u8fd9\u662f\u4e00\u884c\u91cd\u590d\u7684\u6587\u5b57"
+    rows = [(1, f"Read more\n{chinese}\n---\n1\n", "a"), (2, f"read more!\nnew\n{chinese}\n---\n1\n", "a")]
+    _frame(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    found = {r["doc_id"]: (r["text"], r["removed_spans"]) for r in queries.op1_line_dedup(spark, str(tmp_path)).collect()}
+    assert found == {1: (rows[0][1], ""), 2: ("new\n---\n", "0-10,15-24,29-30")}
+    kept = {r["doc_id"]: r["text"] for r in units.drop_repeated_units(_frame(spark, rows)).collect()}  # four words by default
+    assert kept[2] == "read more!\nnew\n---\n1\n"
+
+
 def _poisson(rate, unit):
     count, term, total = 0, math.exp(-rate), math.exp(-rate)
     while total <= unit:

@@ -32,8 +32,8 @@ def _quoted(value: str) -> str:
 
 @entry
 def op1_line_dedup(spark, sf_dir):
-    """Repeated lines of all documents removed; the spans as text, ``start-end`` joined by commas."""
-    kept = units.drop_repeated_units(_table(spark, sf_dir, "documents"))
+    """Repeated lines of all documents removed, short ones as well; the spans as text, ``start-end`` joined by commas."""
+    kept = units.drop_repeated_units(_table(spark, sf_dir, "documents"), min_words=1)
     pairs = F.transform(F.arrays_zip("removed_starts", "removed_ends"), lambda p: F.concat_ws("-", p["removed_starts"], p["removed_ends"]))
     return kept.select("doc_id", "text", "n_units", "n_removed", F.array_join(pairs, ",").alias("removed_spans"))
 

@@ -12,12 +12,20 @@ from textlens.operators.joins import measured_join
 
 SEPARATORS = {"line": "\n", "paragraph": "\n\n"}
 
+# Letters of scripts without spaces between words.
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
+
 
 def normal_unit(unit: Column) -> Column:
     """Lower case, with every run of other characters than letters and digits as one space."""
     return F.trim(F.regexp_replace(F.lower(unit), r"[^\p{L}\p{N}]+", " "))
 
 
+def _word_count(unit: Column) -> Column:
+    """Words of a normal unit; in scripts that put no spaces between words every character is one."""
+    return F.size(F.split(unit, " ")) + F.length(unit) - F.length(F.regexp_replace(unit, UNSPACED, ""))
+
+
 def _kept(key: str, separator: str):
     def rebuild(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -47,8 +55,8 @@ def drop_repeated_units(
 
     ``unit`` is ``line`` or ``paragraph``. Units are compared by the md5 of :func:`normal_unit`.
     Occurrences rank by ``key`` (null last), then by position; the first of each digest stays,
-    the others go, also those within one document. Units of fewer than ``min_words`` words
-    always stay, so short and empty lines do. Returns ``(key, text, n_units, n_removed,
+    the others go, also those within one document. Units without letters and digits always stay, and
+    those of fewer than ``min_words`` words; 1 compares every other unit. Returns ``(key, text, n_units, n_removed,
     removed_starts, removed_ends)``, one row per row of ``docs``: offsets count characters of the
     original text from 0, ends exclusive, without the separator; the units that stay are joined by
     the separator. A null text gives a null text and no units, an empty text one empty unit. Rows that
@@ -64,10 +72,12 @@ def drop_repeated_units(
     source = source.withColumn("version", F.xxhash64("text"))
     units = source.select("key", "version", F.posexplode(F.split("text", separator)).alias("pos", "unit"))
     units = units.withColumn("unit", normal_unit(F.col("unit")))
-    words = F.length("unit") - F.length(F.translate("unit", " ", "")) + 1
+    compared = F.col("unit") != ""
+    if min_words > 1:
+        compared = compared & (_word_count(F.col("unit")) >= min_words)
     digest = F.unhex(F.md5(F.col("unit")))
     rank = F.struct(F.col("key").isNull().alias("last"), F.col("key").alias("key"), F.col("pos").alias("pos"))
-    marked = units.where((F.col("unit") != "") & (words >= min_words)).select("key", "version", "pos", digest.alias("digest"))
+    marked = units.where(compared).select("key", "version", "pos", digest.alias("digest"))
     first = marked.groupBy("digest").agg(F.min(rank).alias("first"), F.max(rank).alias("final")).where("first != final")
     later = measured_join(marked, first.select("digest", "first"), ["digest"]).where(rank != F.col("first"))
     gone = later.groupBy(F.col("key").alias("at"), F.col("version").alias("of")).agg(F.collect_set("pos").alias("gone"))
