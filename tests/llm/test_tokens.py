@@ -33,6 +33,12 @@ def test_encoder_equals_the_library(path):
         assert encoder.encode(text) == _ids(path, text, 0)[:-1].tobytes(), repr(text)
 
 
+@pytest.mark.parametrize("run", [" ", "\n", " \t\r\n"])
+def test_long_white_space_runs(run):
+    text = "some text" + run * (1_000_000 // len(run)) + "more text"
+    assert tokens.TextEncoder(BYTES).encode(text) == _ids(BYTES, text, 0)[:-1].tobytes()
+
+
 def test_memory_keeps_two_generations(monkeypatch):
     calls = []
     memory = tokens._Memory(lambda x: calls.append(x) or x.encode(), 2)

@@ -3,8 +3,8 @@
 A BPE tokenizer works on the pieces its pre-tokeniser cuts, one by one. For lower-casing word tokenizers
 the ids of what stands between two spaces are kept for the life of the Python worker. Byte-level files
 whose merges stand in the order of their ids give the same ids by rank, which is faster. Texts that
-hold anything outside the plain Latin ranges, or the marks of special tokens, and files of any
-other kind take the tokenizer's own path as a whole.
+hold anything outside the plain Latin ranges, or the marks of special tokens, or by rank a very long run of white
+space, and files of any other kind take the tokenizer's own path as a whole.
 """
 
 from __future__ import annotations
@@ -24,6 +24,9 @@ CACHED_PIECES = 50_000
 # Characters for which the pattern engines agree and normalisation to composed form changes nothing.
 _UNUSUAL = re.compile("[^\t\n\r\x20-\x7e\xa0-ȿ]")
 
+# A run of white space this long may take the search by pattern beyond its stack (it did at a million, not at 400,000).
+_LONG_SPACE = re.compile(r"(?<!\s)\s{10000}")
+
 # Fixed value: the pattern of byte-level BPE where the file only says that it is used.
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -100,7 +103,7 @@ class TextEncoder:
             return self._whole(text)
         if self.words:  # white space is dropped
             return b"".join(map(self.chunks.__getitem__, text.lower().split()))
-        if self.by_rank:
+        if self.by_rank and not _LONG_SPACE.search(text):
             return array("I", self.by_rank(text)).tobytes()
         return self._whole(text)
 
