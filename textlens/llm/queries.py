@@ -214,3 +214,43 @@ SELECT query_id, rank::INT AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs) WHERE rank <= 10"""
 
 ORACLES["op8_license_scan"] = _license_sql()
+
+
+@entry
+def op12_phrase_collocations(spark, sf_dir):
+    """Each language's 2,000 strongest collocations of two and three words over all documents."""
+    from textlens.llm import collocations
+
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_phrase_collocations"] = r"""WITH words AS (
+  SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0B\x0C\r]')) AS piece
+    FROM documents)),
+grams AS MATERIALIZED (
+  SELECT lang, s, array_to_string(w[i:i + s - 1], ' ') AS phrase, count(*) AS f FROM (
+    SELECT lang, w, s, unnest(range(1, len(w) - s + 2)) AS i FROM words, (VALUES (1), (2), (3)) t(s))
+  GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM grams WHERE s = 1 GROUP BY lang),
+cands AS MATERIALIZED (SELECT lang, s, phrase, f AS a, string_split(phrase, ' ') AS w FROM grams WHERE s >= 2 AND f >= 10),
+cuts AS (
+  SELECT c.lang, c.phrase, c.s, c.a, k, lg.f AS l, rg.f AS r,
+    ((1000000::HUGEINT * c.a * c.a) // (lg.f::HUGEINT * rg.f))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, s)) AS k FROM cands) c
+  JOIN grams lg ON lg.lang = c.lang AND lg.phrase = array_to_string(c.w[1:k], ' ')
+  JOIN grams rg ON rg.lang = c.lang AND rg.phrase = array_to_string(c.w[k + 1:], ' ')),
+weakest AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS o FROM cuts) WHERE o = 1),
+outer_f AS (
+  SELECT lang, phrase, max(a) AS longer_f FROM (
+    SELECT lang, array_to_string(w[1:2], ' ') AS phrase, a FROM cands WHERE s = 3
+    UNION ALL SELECT lang, array_to_string(w[2:3], ' ') AS phrase, a FROM cands WHERE s = 3) GROUP BY ALL),
+kept AS (
+  SELECT w.* FROM weakest w LEFT JOIN outer_f o USING (lang, phrase)
+  WHERE o.longer_f IS NULL OR o.longer_f * 100 < w.a * 50)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT k.lang, row_number() OVER (PARTITION BY k.lang ORDER BY score DESC, a DESC, phrase) AS rank,
+    phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score
+  FROM kept k JOIN totals USING (lang)) WHERE rank <= 2000"""
