@@ -254,3 +254,12 @@ SELECT lang, rank, phrase, a, l, r, n, score FROM (
   SELECT k.lang, row_number() OVER (PARTITION BY k.lang ORDER BY score DESC, a DESC, phrase) AS rank,
     phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score
   FROM kept k JOIN totals USING (lang)) WHERE rank <= 2000"""
+
+
+@entry
+def op11_token_alignment(spark, sf_dir):
+    """Groups and links of two tokenizers' tokens over every document, with corpus-wide link counts."""
+    from textlens.llm import alignment
+
+    docs = _table(spark, sf_dir, "documents")
+    return alignment.align_tokenizers(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
