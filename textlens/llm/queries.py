@@ -263,3 +263,11 @@ def op11_token_alignment(spark, sf_dir):
 
     docs = _table(spark, sf_dir, "documents")
     return alignment.align_tokenizers(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
+@entry
+def op13_language_model(spark, sf_dir):
+    """log10 probability of every document under a recurrent model learnt from nine tenths of them."""
+    from textlens.llm import language_model
+
+    return language_model.score_documents(_table(spark, sf_dir, "documents"))
