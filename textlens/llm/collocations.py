@@ -35,26 +35,38 @@ WORD = r"[^ \t]+"
 LONGEST = 3
 
 
-def phrase_counts(docs: DataFrame, longest: int = LONGEST) -> DataFrame:
-    """``(lang, phrase, size, f)``: every contiguous run of 1 to ``longest`` words within a piece, counted per language.
+def counted_runs(docs: DataFrame, longest: int = LONGEST) -> DataFrame:
+    """``(lang, w1 .. w<longest>, f)``, stored: the run of up to ``longest`` words that starts at each word position, counted.
 
-    Runs are exploded once per piece and summed with a partial (map-side) aggregate, so a
-    frequent word costs one row per task before the shuffle.
+    Each word position gives one row with the words as separate columns (null past the end of
+    its piece); the runs are counted with a partial (map-side) aggregate.
     """
     text = F.translate(F.coalesce(F.col("text"), F.lit("")), UPPER, LOWER)
     pieces = docs.select(F.coalesce(F.col("lang"), F.lit("und")).alias("lang"), F.explode(F.split(text, PIECE_BREAKS)).alias("piece"))
     words = pieces.select("lang", F.regexp_extract_all("piece", F.lit(WORD), 0).alias("w")).where(F.size("w") > 0)
-    runs = []
-    for size in range(1, longest + 1):
-        starts = F.when(F.size("w") >= size, F.sequence(F.lit(1), F.size("w") - size + 1)).otherwise(F.array().cast("array<int>"))
-        runs.append(F.transform(starts, _run_of(size)))
-    grams = words.select("lang", F.explode(F.concat(*runs)).alias("g")).select("lang", "g.size", "g.phrase")
-    return grams.groupBy("lang", "phrase", "size").agg(F.count(F.lit(1)).alias("f"))
+    names = [f"w{j}" for j in range(1, longest + 1)]
+    run = lambda i: F.struct(*[F.try_element_at("w", i + j).alias(n) for j, n in enumerate(names)])
+    runs = words.select("lang", F.explode(F.transform(F.sequence(F.lit(1), F.size("w")), run)).alias("g")).select("lang", "g.*")
+    return store(runs.groupBy("lang", *names).agg(F.count(F.lit(1)).alias("f")), "phrase-runs")
+
 
+def phrase_counts(counted: DataFrame, longest: int = LONGEST, least: int = 1) -> DataFrame:
+    """``(lang, phrase, size, f)``: phrases of 1 to ``longest`` words met ``f >= least`` times, from :func:`counted_runs`.
 
-def _run_of(size: int):
-    """The run of ``size`` words from a start; a one-argument function, as ``transform`` reads a second as the index."""
-    return lambda i: F.struct(F.lit(size).alias("size"), F.array_join(F.slice("w", i, size), " ").alias("phrase"))
+    The count of a phrase is the sum over the runs it begins (the prefix-order stream): every
+    occurrence of a phrase begins exactly one run, so the counts are exact. Phrase strings are
+    made only for the counts that reach ``least``.
+    """
+    names = [f"w{j}" for j in range(1, longest + 1)]
+    out = []
+    for size in range(1, longest + 1):
+        part = counted.where(F.col(names[size - 1]).isNotNull()).groupBy("lang", *names[:size]).agg(F.sum("f").alias("f"))
+        part = part.where(F.col("f") >= least)
+        out.append(part.select("lang", F.concat_ws(" ", *names[:size]).alias("phrase"), F.lit(size).alias("size"), "f"))
+    grams = out[0]
+    for more in out[1:]:
+        grams = grams.unionByName(more)
+    return grams
 
 
 def _exact_score(a, l, r):
@@ -72,8 +84,9 @@ def collocations(docs: DataFrame, least: int = 10, top: int = 2000, longest: int
     candidate (dropped or not) that occurs at least ``keep_percent`` % of ``a`` times. Columns: ``lang, rank``
     (from 1), ``phrase, a, l, r, n`` (all word occurrences of the language) and ``score``.
     """
-    grams = store(phrase_counts(docs.select("lang", "text"), longest), "phrase-counts")
-    totals = grams.where("size = 1").groupBy("lang").agg(F.sum("f").alias("n"))
+    counted = counted_runs(docs.select("lang", "text"), longest)
+    totals = counted.groupBy("lang").agg(F.sum("f").alias("n"))
+    grams = store(phrase_counts(counted, longest, least), "phrase-counts")
     candidates = grams.where((F.col("size") >= 2) & (F.col("f") >= least)).select("lang", "phrase", "size", F.col("f").alias("a"))
 
     words = F.split("phrase", " ")
