@@ -36,33 +36,32 @@ LONGEST = 3
 
 
 def counted_runs(docs: DataFrame, longest: int = LONGEST) -> DataFrame:
-    """``(lang, w1 .. w<longest>, f)``, stored: the run of up to ``longest`` words that starts at each word position, counted.
+    """``(lang, run, f)``: the run of up to ``longest`` words that starts at each word position, counted.
 
-    Each word position gives one row with the words as separate columns (null past the end of
-    its piece); the runs are counted with a partial (map-side) aggregate.
+    Each word position gives one row, its run as one string (words joined by a space, which no
+    word holds); the runs are counted with a partial (map-side) aggregate.
     """
     text = F.translate(F.coalesce(F.col("text"), F.lit("")), UPPER, LOWER)
     pieces = docs.select(F.coalesce(F.col("lang"), F.lit("und")).alias("lang"), F.explode(F.split(text, PIECE_BREAKS)).alias("piece"))
     words = pieces.select("lang", F.regexp_extract_all("piece", F.lit(WORD), 0).alias("w")).where(F.size("w") > 0)
-    names = [f"w{j}" for j in range(1, longest + 1)]
-    run = lambda i: F.struct(*[F.try_element_at("w", i + j).alias(n) for j, n in enumerate(names)])
-    runs = words.select("lang", F.explode(F.transform(F.sequence(F.lit(1), F.size("w")), run)).alias("g")).select("lang", "g.*")
-    return store(runs.groupBy("lang", *names).agg(F.count(F.lit(1)).alias("f")), "phrase-runs")
+    run = lambda i: F.array_join(F.slice("w", i, longest), " ")
+    runs = words.select("lang", F.explode(F.transform(F.sequence(F.lit(1), F.size("w")), run)).alias("run"))
+    return runs.groupBy("lang", "run").agg(F.count(F.lit(1)).alias("f"))
 
 
 def phrase_counts(counted: DataFrame, longest: int = LONGEST, least: int = 1) -> DataFrame:
     """``(lang, phrase, size, f)``: phrases of 1 to ``longest`` words met ``f >= least`` times, from :func:`counted_runs`.
 
     The count of a phrase is the sum over the runs it begins (the prefix-order stream): every
-    occurrence of a phrase begins exactly one run, so the counts are exact. Phrase strings are
-    made only for the counts that reach ``least``.
+    occurrence of a phrase begins exactly one run, so the counts are exact. Rows of size 0 carry
+    each language's number of words ``n`` in ``f``. All parts read the same counted runs, so
+    Spark plans their exchange once and reuses it.
     """
-    names = [f"w{j}" for j in range(1, longest + 1)]
-    out = []
+    words = F.size(F.split("run", " "))
+    out = [counted.groupBy("lang").agg(F.sum("f").alias("f")).select("lang", F.lit("").alias("phrase"), F.lit(0).alias("size"), "f")]
     for size in range(1, longest + 1):
-        part = counted.where(F.col(names[size - 1]).isNotNull()).groupBy("lang", *names[:size]).agg(F.sum("f").alias("f"))
-        part = part.where(F.col("f") >= least)
-        out.append(part.select("lang", F.concat_ws(" ", *names[:size]).alias("phrase"), F.lit(size).alias("size"), "f"))
+        part = counted.where(words >= size).groupBy("lang", F.substring_index("run", " ", size).alias("phrase")).agg(F.sum("f").alias("f"))
+        out.append(part.where(F.col("f") >= least).select("lang", "phrase", F.lit(size).alias("size"), "f"))
     grams = out[0]
     for more in out[1:]:
         grams = grams.unionByName(more)
@@ -84,9 +83,9 @@ def collocations(docs: DataFrame, least: int = 10, top: int = 2000, longest: int
     candidate (dropped or not) that occurs at least ``keep_percent`` % of ``a`` times. Columns: ``lang, rank``
     (from 1), ``phrase, a, l, r, n`` (all word occurrences of the language) and ``score``.
     """
-    counted = counted_runs(docs.select("lang", "text"), longest)
-    totals = counted.groupBy("lang").agg(F.sum("f").alias("n"))
-    grams = store(phrase_counts(counted, longest, least), "phrase-counts")
+    stored = store(phrase_counts(counted_runs(docs.select("lang", "text"), longest), longest, least), "phrase-counts")
+    totals = stored.where("size = 0").select("lang", F.col("f").alias("n"))
+    grams = stored.where("size > 0")
     candidates = grams.where((F.col("size") >= 2) & (F.col("f") >= least)).select("lang", "phrase", "size", F.col("f").alias("a"))
 
     words = F.split("phrase", " ")
