@@ -16,8 +16,8 @@ def _rows(n=400, d=12, seed=1):
     made[50:90] = made[50]  # many equal vectors
     rows = [(i, [float(x) for x in v], "x", 1) for i, v in enumerate(made)]
     nan, inf = float("nan"), float("inf")
-    rows += [(1000, None, "x", 1), (1020, [nan] * d, "x", 1), (1040, [None] * d, "x", 1), (1060, [inf] * d, "x", 1), (None, [1.0] * d, "x", 1)]
-    rows += [(1080, [0.0] * d, "x", 1), (1100, [2.0, 1.0], "x", 1), (7, rows[7][1], "x", 1), (20, rows[20][1], "x", 1)]
+    rows += [(100_000, None, "x", 1), (100_020, [nan] * d, "x", 1), (100_040, [None] * d, "x", 1), (100_060, [inf] * d, "x", 1)]
+    rows += [(None, [1.0] * d, "x", 1), (100_080, [0.0] * d, "x", 1), (100_100, [2.0, 1.0], "x", 1), (7, rows[7][1], "x", 1), (20, rows[20][1], "x", 1)]
     return rows
 
 
