@@ -54,8 +54,9 @@ def phrase_counts(counted: DataFrame, longest: int = LONGEST, least: int = 1) ->
 
     The count of a phrase is the sum over the runs it begins (the prefix-order stream): every
     occurrence of a phrase begins exactly one run, so the counts are exact. Rows of size 0 carry
-    each language's number of words ``n`` in ``f``. All parts read the same counted runs, so
-    Spark plans their exchange once and reuses it.
+    each language's number of words ``n`` in ``f``. ``counted`` is read once per part, so it
+    should be a stored table (Catalyst pushes each part's filter below the count, so an
+    unstored one would be counted once per part).
     """
     words = F.size(F.split("run", " "))
     out = [counted.groupBy("lang").agg(F.sum("f").alias("f")).select("lang", F.lit("").alias("phrase"), F.lit(0).alias("size"), "f")]
@@ -83,7 +84,8 @@ def collocations(docs: DataFrame, least: int = 10, top: int = 2000, longest: int
     candidate (dropped or not) that occurs at least ``keep_percent`` % of ``a`` times. Columns: ``lang, rank``
     (from 1), ``phrase, a, l, r, n`` (all word occurrences of the language) and ``score``.
     """
-    stored = store(phrase_counts(counted_runs(docs.select("lang", "text"), longest), longest, least), "phrase-counts")
+    counted = store(counted_runs(docs.select("lang", "text"), longest), "phrase-runs")
+    stored = store(phrase_counts(counted, longest, least), "phrase-counts")
     totals = stored.where("size = 0").select("lang", F.col("f").alias("n"))
     grams = stored.where("size > 0")
     candidates = grams.where((F.col("size") >= 2) & (F.col("f") >= least)).select("lang", "phrase", "size", F.col("f").alias("a"))
