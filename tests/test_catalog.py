@@ -9,7 +9,7 @@ from textlens.catalog.oracles import ORACLES
 FOLDER = "/root/testdata/sf0.001"
 
 # no SQL form: fitted models, a caller's encoder, the nested response
-ROWS_ONLY = {"encode_batches", "pca_project", "kmeans_fit", "classify_fit", "classify_predict", "retrieve_response"}
+ROWS_ONLY = {"pca_project", "kmeans_fit", "classify_fit", "classify_predict", "retrieve_response"}
 
 # quick ones; the rest are compared by tests/compare_sql.py
 COMPARED = ["heading_ffill", "split_couplets", "corpus_seq", "normalize_text", "class_weights", "hash_split", "bm25_search"]

@@ -15,6 +15,7 @@ from textlens.operators import embed as em
 from textlens.operators import extract as ex
 from textlens.operators import graph as gr
 from textlens.operators import postings as ps
+from textlens.operators import sentence_vectors as sv
 from textlens.operators import sparse_search as ss
 from textlens.operators.dense_search import cosine_topk
 from textlens.operators.expand import correct_words, expand_queries
@@ -201,7 +202,11 @@ def word_embedding_docs(spark, sf_dir):
 
 @entry
 def encode_batches(spark, sf_dir):
-    return em.encode_texts(inputs.documents(spark, sf_dir), em.hashing_encoder())
+    """Hashed sentence vectors of all documents under the corpus idf, one row per component."""
+    docs = inputs.documents(spark, sf_dir)
+    idf, total = sv.corpus_idf(docs)
+    vectors = sv.sentence_vectors(docs, idf, total)
+    return vectors.select("doc_id", F.posexplode("vec").alias("dim", "value")).withColumn("value", _r("value") + 0.0)
 
 
 # ---------------------------------------------------------------- search
@@ -290,18 +295,17 @@ def _all_hits(spark, sf_dir):
             "tfidf": ss.cosine_search(queries, docs, vocab, terms, ps.tfidf_weights),
             "boolean": ss.cosine_search(queries, docs, vocab, terms, ps.boolean_weights),
             "word_embedding": cosine_topk(embed(queries, "query_id"), embed(docs, "doc_id")),
-            "sentence_embedding": _stored_vector_search(spark, sf_dir, queries, docs),
+            "sentence_embedding": _sentence_search(queries, docs),
             "fulltext": ss.fulltext_search(queries, docs),
         }
     )
     return ss.attach_couplets(hits, docs)
 
 
-def _stored_vector_search(spark, sf_dir, queries, docs):
-    """Texts by their stored vectors: a text's vector has the text's number."""
-    vectors = inputs.vectors(spark, sf_dir).select("doc_id", "vec")
-    asked = vectors.withColumnRenamed("doc_id", "query_id").join(queries.select("query_id"), "query_id", "left_semi")
-    return cosine_topk(asked, vectors.join(docs.select("doc_id"), "doc_id", "left_semi"))
+def _sentence_search(queries, docs):
+    """All documents searched with the hashed sentence vector of each query text."""
+    doc_vectors, query_vectors = sv.document_and_query_vectors(docs, queries)
+    return cosine_topk(query_vectors, doc_vectors)
 
 
 @entry

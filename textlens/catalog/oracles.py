@@ -406,15 +406,36 @@ ORACLES["word_embedding_search"] = _with(
     *_FIT, _QUERIES, *_WORD_EMBEDDING_HITS, select=_hits_with_label("embedding_hits")
 )
 
+def _sentence_vectors(name: str, tokens: str, key: str) -> str:
+    """Hashed sentence vectors (W6) of the texts of ``tokens`` under the documents' idf, one row per component."""
+    return f"""{name}_w AS MATERIALIZED (
+  SELECT {key} AS k, t AS term, count(*) * coalesce(min(i.idf), ln(1 + (SELECT count(*) FROM documents)) + 1) AS w
+  FROM {tokens} LEFT JOIN sv_idf i ON i.term = t GROUP BY ALL),
+{name}_s AS MATERIALIZED (
+  SELECT k, i, sum(w * (CASE WHEN v >= 8 THEN 1.0 ELSE -1.0 END) * ((v % 8) + 1) / 8.0) AS s FROM (
+    SELECT k, w, i, ('0x' || substr(md5(term || '#' || (i // 32)), i % 32 + 1, 1))::INT AS v
+    FROM (SELECT k, term, w, unnest(range(0, 64)) AS i FROM {name}_w)) GROUP BY k, i),
+{name} AS MATERIALIZED (
+  SELECT k AS {key}, i, x FROM (SELECT k, i, s / sqrt(sum(s * s) OVER (PARTITION BY k)) AS x, sum(s * s) OVER (PARTITION BY k) AS nn FROM {name}_s)
+  WHERE nn > 0)"""
+
+
+_SV_IDF = """sv_idf AS MATERIALIZED (
+  SELECT t AS term, ln((1 + (SELECT count(*) FROM documents)) / (1.0::DOUBLE + count(DISTINCT doc_id))) + 1 AS idf FROM tok GROUP BY t)"""
+
+ORACLES["encode_batches"] = _with(
+    _TOK, _SV_IDF, _sentence_vectors("sv_doc", "tok", "doc_id"),
+    select="SELECT doc_id, (i)::INT AS dim, round(x, 6) AS value FROM sv_doc",
+)
+
 _STORED_VECTOR_HITS = [
-    """cells AS MATERIALIZED (
-  SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings)""",
+    _SV_IDF,
+    _sentence_vectors("sv_doc", "tok", "doc_id"),
+    _sentence_vectors("sv_query", "qtok", "query_id"),
     _ranked(
         "stored_hits",
-        """SELECT q.vec_id AS query_id, d.vec_id AS doc_id,
-    sum(q.x * d.x) / (sqrt(sum(q.x * q.x)) * sqrt(sum(d.x * d.x)) + 1e-10) AS s
-  FROM cells q JOIN cells d USING (i)
-  WHERE q.vec_id IN (SELECT query_id FROM queries) AND d.vec_id IN (SELECT doc_id FROM documents) GROUP BY q.vec_id, d.vec_id""",
+        """SELECT query_id, doc_id, sum(q.x * d.x) / (sqrt(sum(q.x * q.x)) * sqrt(sum(d.x * d.x)) + 1e-10) AS s
+  FROM sv_query q JOIN sv_doc d USING (i) GROUP BY query_id, doc_id""",
         20,
     ),
 ]
