@@ -60,9 +60,12 @@ def phrase_counts(counted: DataFrame, longest: int = LONGEST, least: int = 1) ->
     """
     words = F.size(F.split("run", " "))
     out = [counted.groupBy("lang").agg(F.sum("f").alias("f")).select("lang", F.lit("").alias("phrase"), F.lit(0).alias("size"), "f")]
-    for size in range(1, longest + 1):
+    for size in range(1, longest):
         part = counted.where(words >= size).groupBy("lang", F.substring_index("run", " ", size).alias("phrase")).agg(F.sum("f").alias("f"))
         out.append(part.where(F.col("f") >= least).select("lang", "phrase", F.lit(size).alias("size"), "f"))
+    # Runs of full length are distinct by (lang, run) already: their counts need no second exchange.
+    whole = counted.where((words == longest) & (F.col("f") >= least))
+    out.append(whole.select("lang", F.col("run").alias("phrase"), F.lit(longest).alias("size"), "f"))
     grams = out[0]
     for more in out[1:]:
         grams = grams.unionByName(more)
