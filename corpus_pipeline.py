@@ -26,16 +26,31 @@ def _documents(docs: DataFrame) -> DataFrame:
 _spent: list[str] = []
 
 
+def _reads_from(docs: DataFrame, paths: list[str]) -> bool:
+    """Whether ``docs`` still reads a file under one of ``paths``."""
+    try:
+        files = docs.inputFiles()
+    except Exception:  # a plan without files of its own
+        return True
+    return any(f.startswith(p.rstrip("/") + "/") or f == p for f in files for p in paths)
+
+
 def _stage(function: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
-    """A stage that first deletes the scratch tables of the stage before, whose result has been written by now."""
+    """A stage that deletes the scratch tables of the stage called before, once nothing it is given reads them.
+
+    A caller that passes on a result not yet written keeps those tables. :func:`run` deletes its own
+    scratch tables itself, stage by stage.
+    """
 
     @wraps(function)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        for path in _spent:
-            delete_path(spark, path)
+        if _spent and not _reads_from(docs, _spent):
+            for path in _spent:
+                delete_path(spark, path)
+            _spent.clear()
         with scratch_paths() as made:
             result = function(spark, docs, sf_dir)
-        _spent[:] = made
+        _spent.extend(made)
         return result
 
     return run_stage
@@ -91,10 +106,23 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again."""
+    """All stages over ``documents``, each written and read again.
+
+    A stage's scratch tables go once its result is written, and a stage's result once the next one's is;
+    the last result stays, as it is returned.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for name, stage in STAGES:
-        path = scratch_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with scratch_paths() as made:
+            path = scratch_path(spark, f"pipeline-{name}")
+            stage(spark, docs, sf_dir).write.parquet(path)
+        for spent in made:
+            if spent != path and spent in _spent:
+                _spent.remove(spent)
+            if spent != path:
+                delete_path(spark, spent)
+        if before is not None:
+            delete_path(spark, before)
+        before, docs = path, spark.read.parquet(path)
     return docs
