@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textlens.llm.batches import slices
+from textlens.llm.batches import release, rows_of, slices, store_batches
 from textlens.llm.tokens import _byte_letters
 from textlens.operators.joins import salted_join
 from textlens.session import store
@@ -44,7 +44,7 @@ ALIGNED = (
 )
 
 # Texts are encoded some megabytes at a time, so that a batch of long texts stays within a task's memory.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 _BYTE_PIECE = re.compile(r"<0x([0-9A-Fa-f]{2})>")
 
@@ -95,16 +95,43 @@ def _aligned(text, ids_a, ids_b, a_bytes, b_bytes, a_len, b_len):
     return ids_a, ids_b, np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
 
 
-def _groups_text(ids_a, ids_b, group_a, group_b) -> str:
-    """``a1,a2|b1;a3|b2,b3``: each group's A ids, then its B ids."""
+def _decimal_bytes(values: np.ndarray, marks: np.ndarray) -> bytes:
+    """Each value (below 2**31) in decimal followed by its mark byte (0: none), as one byte string; vectorised.
+
+    Digits are written right-aligned in a fixed number of columns, the mark in one more; the
+    unused leading columns and absent marks are masked out before the bytes are read row by row.
+    """
+    values = values.astype(np.int32)
+    width = np.searchsorted(_TENS, values, side="right").astype(np.int32)
+    columns = int(width.max()) if len(values) else 1
+    cells = np.empty((len(values), columns + 1), np.uint8)
+    rest = values.copy()
+    for column in range(columns - 1, -1, -1):
+        cells[:, column] = rest % 10 + 48
+        rest //= 10
+    cells[:, columns] = marks
+    keep = np.empty(cells.shape, bool)
+    keep[:, :columns] = np.arange(columns)[None, :] >= (columns - width)[:, None]
+    keep[:, columns] = marks != 0
+    return cells[keep].tobytes()
+
+
+# 1, 10, 100, ...: the number of them at or below a value is its count of decimal digits (0 has one).
+_TENS = np.array([0] + [10**p for p in range(1, 10)], np.int64)
+
+
+def _groups_digest(ids_a, ids_b, group_a, group_b, chunk: int = 1 << 18) -> str:
+    """sha256 of ``a1,a2|b1;a3|b2,b3``: each group's A ids, then its B ids, in decimal."""
     key = np.concatenate([group_a * 2, group_b * 2 + 1])
     order = np.argsort(key, kind="stable")
     ids, key = np.concatenate([ids_a, ids_b])[order], key[order]
     same = np.append(key[1:] == key[:-1], False)
-    side = key % 2
-    nxt = np.where(same, ",", np.where(side == 0, "|", ";"))
-    nxt[-1] = ""
-    return "".join([f"{i}{s}" for i, s in zip(ids.tolist(), nxt.tolist())])
+    marks = np.where(same, ord(","), np.where(key % 2 == 0, ord("|"), ord(";"))).astype(np.uint8)
+    marks[-1] = 0
+    digest = hashlib.sha256()
+    for begin in range(0, len(ids), chunk):
+        digest.update(_decimal_bytes(ids[begin : begin + chunk], marks[begin : begin + chunk]))
+    return digest.hexdigest()
 
 
 def _align_slice(batch: pa.RecordBatch, a, b, a_bytes, b_bytes, a_len, b_len, identity) -> pa.RecordBatch:
@@ -126,7 +153,7 @@ def _align_slice(batch: pa.RecordBatch, a, b, a_bytes, b_bytes, a_len, b_len, id
         out["n_b"].append(len(ids_b))
         out["n_groups"].append(n_groups)
         out["n_links"].append(n_groups)
-        out["groups_sha256"].append(hashlib.sha256(_groups_text(ids_a, ids_b, group_a, group_b).encode()).hexdigest() if n_groups else "")
+        out["groups_sha256"].append(_groups_digest(ids_a, ids_b, group_a, group_b) if n_groups else "")
         out["fast_a"].append(link_a[exact].astype(np.int32))
         out["odd_a"].append(link_a[~exact].astype(np.int32))
         out["odd_b"].append(link_b[~exact].astype(np.int32))
@@ -140,9 +167,12 @@ def _align_slice(batch: pa.RecordBatch, a, b, a_bytes, b_bytes, a_len, b_len, id
 def _align_batches(a_path: str, b_path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tools = vocabularies(a_path, b_path)
-        for whole in batches:
-            for batch in slices(whole, whole.schema.get_field_index("text"), SLICE_BYTES):
-                yield _align_slice(batch, *tools)
+        for batch in batches:
+            for data in batch.column("rows"):
+                rows = rows_of(data.as_buffer())
+                for part in slices(rows, rows.schema.get_field_index("text"), SLICE_BYTES):
+                    yield _align_slice(part, *tools)
+        release()
 
     return run
 
@@ -186,7 +216,8 @@ def align_tokenizers(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     _, _, _, _, _, _, identity = vocabularies(a_path, b_path)
     size_a, size_b = len(identity), int(vocabularies(a_path, b_path)[5].shape[0])
     rows = docs.select("doc_id", "text").withColumn("_row", F.monotonically_increasing_id())
-    aligned = store(rows.select("_row", "doc_id", "text").mapInArrow(_align_batches(a_path, b_path), ALIGNED), "alignment")
+    stored = store_batches(rows.select("_row", "doc_id", "text"), "text")
+    aligned = store(stored.select("rows").mapInArrow(_align_batches(a_path, b_path), ALIGNED), "alignment")
 
     # Exact links: one vector of A's vocabulary length per task, summed; bounded by that length.
     vector = aligned.select("fast_a").mapInArrow(_vector_counts(size_a), "a int, n long").groupBy("a").agg(F.sum("n").alias("n"))
