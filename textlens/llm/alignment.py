@@ -24,6 +24,7 @@ Odd input, and what it gives:
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -34,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textlens.llm.batches import release, rows_of, slices, store_batches
+from textlens.llm import tokens
 from textlens.llm.tokens import _byte_letters
 from textlens.operators.joins import salted_join
 from textlens.session import store
@@ -52,6 +54,8 @@ _BYTE_PIECE = re.compile(r"<0x([0-9A-Fa-f]{2})>")
 @lru_cache(maxsize=2)
 def vocabularies(a_path: str, b_path: str):
     """Both tokenizers, the bytes and lengths of every id, and the identity map from A ids to B ids (-1: none)."""
+    # Spark runs one task a core already: the encoders' own thread pools would only add threads, their memory arenas and spinning.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     import sentencepiece
     from tokenizers import Tokenizer
 
@@ -73,23 +77,52 @@ def vocabularies(a_path: str, b_path: str):
     identity = np.array([first.get(data, -1) for data in a_bytes], np.int64)
     a_len = np.array([len(x) for x in a_bytes], np.int64)
     b_len = np.array([len(x) for x in b_bytes], np.int64)
-    return a, b, a_bytes, b_bytes, a_len, b_len, identity
+    a_flat = (np.frombuffer(b"".join(a_bytes), np.uint8), np.r_[0, np.cumsum(a_len)[:-1]])
+    b_flat = (np.frombuffer(b"".join(b_bytes), np.uint8), np.r_[0, np.cumsum(b_len)[:-1]])
+    return a, b, a_flat, b_flat, a_len, b_len, identity
+
+
+@lru_cache(maxsize=2)
+def _ranked(a_path: str):
+    """The by-rank encoder of A's file (same ids as the library's), and A's special strings."""
+    encoder = tokens.encoder(a_path)
+    return encoder, tuple(encoder.special)
+
+
+def _a_ids(a, a_path: str, texts: list[str]) -> list:
+    """A's ids of space + text: by rank, or by the library where a special string occurs, which must stay plain text."""
+    encoder, special = _ranked(a_path)
+    return [
+        a.encode(" " + t, add_special_tokens=False).ids if any(x in t for x in special) else np.frombuffer(encoder.encode(" " + t), "<u4")
+        for t in texts
+    ]
 
 
 def align_text(text: str | None, a_path: str, b_path: str):
     """``(ids_a, ids_b, group_a, group_b)`` of one text: the ids and the group of each token; all empty for a text without tokens."""
-    a, b, a_bytes, b_bytes, a_len, b_len, _ = vocabularies(a_path, b_path)
-    return _aligned(text, a.encode(" " + (text or ""), add_special_tokens=False).ids, b.encode(text or ""), a_bytes, b_bytes, a_len, b_len)
+    a, b, a_flat, b_flat, a_len, b_len, _ = vocabularies(a_path, b_path)
+    return _aligned(text, a.encode(" " + (text or ""), add_special_tokens=False).ids, b.encode(text or ""), a_flat, b_flat, a_len, b_len)
 
 
-def _aligned(text, ids_a, ids_b, a_bytes, b_bytes, a_len, b_len):
+def _spells(ids: np.ndarray, flat, lengths: np.ndarray, whole: np.ndarray) -> bool:
+    """Whether the tokens' bytes, joined, are ``whole``; by gathers over all tokens' bytes laid end to end."""
+    data, starts = flat
+    sizes = lengths[ids]
+    total = int(sizes.sum())
+    if total != len(whole):
+        return False
+    at = np.repeat(starts[ids] - np.r_[0, np.cumsum(sizes)[:-1]], sizes) + np.arange(total)
+    return bool(np.array_equal(data[at], whole))
+
+
+def _aligned(text, ids_a, ids_b, a_flat, b_flat, a_len, b_len):
     nothing = np.zeros(0, np.int64)
     if not text:
         return nothing, nothing, nothing, nothing
-    whole = (" " + text).encode()
-    if b"".join(map(a_bytes.__getitem__, ids_a)) != whole or b"".join(map(b_bytes.__getitem__, ids_b)) != whole:
-        return nothing, nothing, nothing, nothing
+    whole = np.frombuffer((" " + text).encode(), np.uint8)
     ids_a, ids_b = np.asarray(ids_a, np.int64), np.asarray(ids_b, np.int64)
+    if not _spells(ids_a, a_flat, a_len, whole) or not _spells(ids_b, b_flat, b_len, whole):
+        return nothing, nothing, nothing, nothing
     ends_a, ends_b = np.cumsum(a_len[ids_a]), np.cumsum(b_len[ids_b])
     common = np.intersect1d(ends_a, ends_b, assume_unique=True)
     return ids_a, ids_b, np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
@@ -134,15 +167,15 @@ def _groups_digest(ids_a, ids_b, group_a, group_b, chunk: int = 1 << 18) -> str:
     return digest.hexdigest()
 
 
-def _align_slice(batch: pa.RecordBatch, a, b, a_bytes, b_bytes, a_len, b_len, identity) -> pa.RecordBatch:
+def _align_slice(batch: pa.RecordBatch, a_path: str, a, b, a_flat, b_flat, a_len, b_len, identity) -> pa.RecordBatch:
     texts = batch.column("text").to_pylist()
     present = [t for t in texts if t]
-    encoded_a = iter([e.ids for e in a.encode_batch([" " + t for t in present], add_special_tokens=False)])
-    encoded_b = iter(b.encode(present))
+    encoded_a = iter(_a_ids(a, a_path, present))
+    encoded_b = iter(b.encode(present, num_threads=1))
     out = {name: [] for name in ("n_a", "n_b", "n_groups", "n_links", "groups_sha256", "fast_a", "odd_a", "odd_b")}
     for text in texts:
         ids_a, ids_b = (next(encoded_a), next(encoded_b)) if text else ([], [])
-        ids_a, ids_b, group_a, group_b = _aligned(text, ids_a, ids_b, a_bytes, b_bytes, a_len, b_len)
+        ids_a, ids_b, group_a, group_b = _aligned(text, ids_a, ids_b, a_flat, b_flat, a_len, b_len)
         n_groups = int(group_a[-1]) + 1 if len(ids_a) else 0
         last_a = np.searchsorted(group_a, np.arange(n_groups), side="right") - 1
         last_b = np.searchsorted(group_b, np.arange(n_groups), side="right") - 1
@@ -171,7 +204,7 @@ def _align_batches(a_path: str, b_path: str):
             for data in batch.column("rows"):
                 rows = rows_of(data.as_buffer())
                 for part in slices(rows, rows.schema.get_field_index("text"), SLICE_BYTES):
-                    yield _align_slice(part, *tools)
+                    yield _align_slice(part, a_path, *tools)
         release()
 
     return run
