@@ -33,7 +33,7 @@ def _quoted(value: str) -> str:
 @entry
 def op1_line_dedup(spark, sf_dir):
     """Repeated lines of all documents removed, short ones as well; the spans as text, ``start-end`` joined by commas."""
-    kept = units.drop_repeated_units(_table(spark, sf_dir, "documents"), min_words=1)
+    kept = units.drop_repeated_units(_table(spark, sf_dir, "documents"))
     pairs = F.transform(F.arrays_zip("removed_starts", "removed_ends"), lambda p: F.concat_ws("-", p["removed_starts"], p["removed_ends"]))
     return kept.select("doc_id", "text", "n_units", "n_removed", F.array_join(pairs, ",").alias("removed_spans"))
 
@@ -46,8 +46,7 @@ placed AS MATERIALIZED (
     coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begins
   FROM lines),
 judged AS (
-  SELECT *, unit <> '' AND len(string_split(unit, ' ')) >= 4
-    AND row_number() OVER (PARTITION BY unit ORDER BY doc_id, pos) > 1 AS gone FROM placed)
+  SELECT *, unit <> '' AND row_number() OVER (PARTITION BY unit ORDER BY doc_id, pos) > 1 AS gone FROM placed)
 SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS text,
   count(*)::INT AS n_units, (count(*) FILTER (WHERE gone))::INT AS n_removed,
   coalesce(string_agg(begins::BIGINT || '-' || (begins + length(line))::BIGINT, ',' ORDER BY pos) FILTER (WHERE gone), '') AS removed_spans

@@ -49,14 +49,14 @@ def _kept(key: str, separator: str):
 
 
 def drop_repeated_units(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", unit: str = "line", min_words: int = 4
+    docs: DataFrame, key: str = "doc_id", text: str = "text", unit: str = "line", min_words: int = 1
 ) -> DataFrame:
     """Documents without the units that occurred before, with the original offsets of what is gone.
 
     ``unit`` is ``line`` or ``paragraph``. Units are compared by the md5 of :func:`normal_unit`.
     Occurrences rank by ``key`` (null last), then by position; the first of each digest stays,
-    the others go, also those within one document. Units without letters and digits always stay, and
-    those of fewer than ``min_words`` words; 1 compares every other unit. Returns ``(key, text, n_units, n_removed,
+    the others go, also those within one document. Units without letters and digits always stay; every
+    other unit is compared, unless a caller asks for ``min_words`` above 1 (an option, off by default). Returns ``(key, text, n_units, n_removed,
     removed_starts, removed_ends)``, one row per row of ``docs``: offsets count characters of the
     original text from 0, ends exclusive, without the separator; the units that stay are joined by
     the separator. A null text gives a null text and no units, an empty text one empty unit. Rows that
