@@ -132,3 +132,13 @@ def plan_of(frame):
 def test_vocabulary_size_is_checked(docs):
     with pytest.raises(ValueError):
         ps.vocabulary(ps.term_counts(docs, ps.index_terms()), 0)
+
+
+def test_terms_are_counted_in_partitions_of_bounded_text(spark, monkeypatch):
+    texts = [f"common word{i} other{i % 7} " * 20 for i in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    whole = sorted(map(tuple, ps.term_counts(docs, ps.index_terms()).collect()))
+    monkeypatch.setattr(ps, "TASK_BYTES", sum(map(len, texts)) // 30)
+    counts = ps.term_counts(docs, ps.index_terms())
+    assert counts.rdd.getNumPartitions() >= 30
+    assert sorted(map(tuple, counts.collect())) == whole
