@@ -137,15 +137,17 @@ def test_ranks_lookup_query_names_and_types(spark, texts, entities):
 def test_packed_ranks_equal_joined_ranks(spark, monkeypatch):
     pairs = [(i % 13 * 5, (i * i + 3) % 11 * 5) for i in range(80)] + [(200, 0), (0, 0), (0, 0)]
     edges = spark.createDataFrame(pairs, "src long, dst long").repartition(3)
+    monkeypatch.setattr(gr, "PACKED_EDGES", 0)
     monkeypatch.setattr(gr, "BLOCK_EDGES", 5)
     packed = rows(gr.pagerank(edges, rounds=10, stride=3)), rows(gr.hits(edges, rounds=5, stride=2))
-    monkeypatch.setattr(gr, "_known_nodes", lambda table, n: None)
+    monkeypatch.setattr(gr, "_known_nodes", lambda edges, table, n: None)
     joined = rows(gr.pagerank(edges, rounds=10, stride=3)), rows(gr.hits(edges, rounds=5, stride=2))
     for a, b in zip(packed, joined):
         assert len(a) == len(b) and all(x == pytest.approx(y, abs=1e-12) for x, y in zip(a, b))
 
 
 def test_a_round_shuffles_no_edges(spark, monkeypatch):
+    monkeypatch.setattr(gr, "PACKED_EDGES", 0)
     monkeypatch.setattr(gr, "_spread", lambda *a: pytest.fail("edges joined with few ranks"))
     edges = spark.createDataFrame([(1, 2), (2, 3), (3, 1)], "src long, dst long")
     assert all(rank == pytest.approx(1 / 3) for _, rank in rows(gr.pagerank(edges, rounds=4)))
