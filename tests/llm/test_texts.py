@@ -266,3 +266,14 @@ def test_pipeline_stages(spark, tmp_path):
     copies = collections.Counter(r["doc_id"] for r in seen["mixing"])
     assert collections.Counter(r["doc_id"] for r in seen["packing"] if r["start"] == 0) == copies
     assert cp.run(spark, str(tmp_path)).count() == len(seen["packing"])
+
+
+def test_only_texts_and_evidence_go_through_python(spark):
+    docs = spark.createDataFrame([(i, _prose(random.Random(i), 20, "de"), "de", "s") for i in range(9)], "doc_id long, text string, lang string, source string")
+    kinds = list(SYLLABLES)
+    table = language.fit_trigrams(docs, kinds)
+    rows = language.document_rows(docs).withColumn("_text", F.col("text"))
+    found = language.identify_languages(rows, table, kinds, text="_text")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" not in plan and "ArrowEvalPython" in plan
+    assert {r["doc_id"]: r["text"] for r in found.collect()} == {r["doc_id"]: r["text"] for r in docs.collect()}

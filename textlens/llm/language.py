@@ -102,29 +102,34 @@ def _matrix(column: pa.Array, size: int) -> np.ndarray:
 
 
 def _likelihood(table: np.ndarray, power: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chain.from_iterable(slices(b, b.num_columns - 1, SLICE) for b in batches):
-            data, offsets = _lowered(batch.column(batch.num_columns - 1))
-            count = np.maximum(np.diff(offsets) - 2, 0)
-            evidence = np.zeros((batch.num_rows, len(table)))
-            for begin in range(0, len(data) - 2, CHUNK):  # texts of any length, some bytes at a time
-                buckets = _trigrams(data[begin : begin + CHUNK + 2])
-                first = np.clip(offsets[:-1] - begin, 0, len(buckets))
-                last = np.clip(offsets[:-1] + count - begin, first, len(buckets))
-                held = np.flatnonzero(last > first)
-                if not len(held):
-                    continue
-                # sums over [first, last) of each text; the trigrams across texts fall between
-                edges = np.stack([first[held], last[held]], axis=1).ravel()
-                edges = edges[:-1] if edges[-1] == len(buckets) else edges
-                for i, row in enumerate(table):
-                    evidence[held, i] += np.add.reduceat(row[buckets], edges, dtype=np.float64)[::2]
-            evidence *= (np.maximum(count, 1.0) ** (power - 1.0))[:, None]
-            columns = [*batch.columns[:-1], _lists(evidence), _lists(_posterior(evidence))]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], "evidence", "soft"])
+    """Evidence and posterior of a column of texts."""
+
+    def part(column: pa.Array) -> pa.StructArray:
+        data, offsets = _lowered(column)
+        count = np.maximum(np.diff(offsets) - 2, 0)
+        evidence = np.zeros((len(column), len(table)))
+        for begin in range(0, len(data) - 2, CHUNK):  # texts of any length, some bytes at a time
+            buckets = _trigrams(data[begin : begin + CHUNK + 2])
+            first = np.clip(offsets[:-1] - begin, 0, len(buckets))
+            last = np.clip(offsets[:-1] + count - begin, first, len(buckets))
+            held = np.flatnonzero(last > first)
+            if not len(held):
+                continue
+            # sums over [first, last) of each text; the trigrams across texts fall between
+            edges = np.stack([first[held], last[held]], axis=1).ravel()
+            edges = edges[:-1] if edges[-1] == len(buckets) else edges
+            for i, row in enumerate(table):
+                evidence[held, i] += np.add.reduceat(row[buckets], edges, dtype=np.float64)[::2]
+        evidence *= (np.maximum(count, 1.0) ** (power - 1.0))[:, None]
+        return pa.StructArray.from_arrays([_lists(evidence), _lists(_posterior(evidence))], ["evidence", "soft"])
+
+    def run(texts: pa.Array) -> pa.Array:
+        whole = pa.RecordBatch.from_arrays([texts], ["text"])
+        parts = [part(batch.column(0)) for batch in slices(whole, 0, SLICE)]
         release()
+        return pa.concat_arrays(parts or [part(texts)])
 
-    return run
+    return F.arrow_udf(run, "struct<evidence: array<double>, soft: array<double>>")
 
 
 def _fuse(names: list[str], totals: np.ndarray, pull: float, least: float):
@@ -139,20 +144,18 @@ def _fuse(names: list[str], totals: np.ndarray, pull: float, least: float):
         even = held.sum(axis=1, keepdims=True) / max(totals.sum(), 1e-9)
         return np.where(np.isnan(held), 0.0, np.log((held + pull * even) / (totals + pull)))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            column = {n: _matrix(batch.column(i), len(names)) for i, n in enumerate(batch.schema.names) if i}
-            own = column["soft"]
-            prior = share(column["host_sums"], own, share(column["domain_sums"], own, np.broadcast_to(general, own.shape)))
-            logs = column["evidence"] + np.log(prior) + frequency(column["declared_sums"]) + frequency(column["suffix_sums"])
-            found = _posterior(logs)
-            best = found.argmax(axis=1)
-            sure = found[np.arange(len(best)), best]
-            kept = (best < len(names) - 1) & (sure >= least)
-            columns = [batch.column(0), pa.array(names).take(pa.array(best)), pa.array(sure), pa.array(kept)]
-            yield pa.RecordBatch.from_arrays(columns, ["row", "language", "confidence", "accepted"])
+    def run(evidence: pa.Array, soft: pa.Array, declared: pa.Array, suffix: pa.Array, domain: pa.Array, host: pa.Array) -> pa.Array:
+        own, declared, suffix, domain, host = (_matrix(c, len(names)) for c in (soft, declared, suffix, domain, host))
+        prior = share(host, own, share(domain, own, np.broadcast_to(general, own.shape)))
+        logs = _matrix(evidence, len(names)) + np.log(prior) + frequency(declared) + frequency(suffix)
+        found = _posterior(logs)
+        best = found.argmax(axis=1)
+        sure = found[np.arange(len(best)), best]
+        kept = (best < len(names) - 1) & (sure >= least)
+        columns = [pa.array(names, pa.string()).take(pa.array(best)), pa.array(sure), pa.array(kept)]
+        return pa.StructArray.from_arrays(columns, ["language", "confidence", "accepted"])
 
-    return run
+    return F.arrow_udf(run, "struct<language: string, confidence: double, accepted: boolean>")
 
 
 def _context_key(*columns: str) -> Column:
@@ -194,8 +197,8 @@ def identify_languages(
     if not kept:
         raise ValueError("rows need a column beside the text")
     carried = rows.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(text).alias("text"))
-    row_type = carried.schema["row"].dataType.simpleString()
-    scored = carried.mapInArrow(_likelihood(table, power), f"row {row_type}, evidence array<double>, soft array<double>")
+    # Only the texts go through Python; the other columns, which may hold the text again, stay beside it.
+    scored = carried.select("row", _likelihood(table, power)("text").alias("found")).select("row", "found.evidence", "found.soft")
     contexts = [(n, c) for n, c in (("declared", declared), ("host", host), ("domain", domain), ("suffix", suffix))]
     fields = [(F.col("row").getField(c) if c in kept else F.lit(None)).cast("string").alias(n) for n, c in contexts]
     scored = store(scored.select("row", "evidence", "soft", *fields), "evidence")
@@ -215,10 +218,8 @@ def identify_languages(
         known = measured_join(known.withColumn("_at", _context_key(*keys)), part, ["_at"], "left", BROADCAST_CONTEXTS).drop("_at")
     held = [f"{n}_sums" for n in ("declared", "suffix", "domain", "host")]
     met = measured_join(marked, known.select("context", *held), ["context"], limit_rows=BROADCAST_CONTEXTS)
-    fused = met.select("row", "evidence", "soft", *held).mapInArrow(
-        _fuse(names, totals, pull, least), f"row {row_type}, language string, confidence double, accepted boolean"
-    )
-    return fused.select(*[F.col("row").getField(c).alias(c) for c in kept], "language", "confidence", "accepted")
+    fused = met.select("row", _fuse(names, totals, pull, least)("evidence", "soft", *held).alias("found"))
+    return fused.select(*[F.col("row").getField(c).alias(c) for c in kept], "found.language", "found.confidence", "found.accepted")
 
 
 def page_rows(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
