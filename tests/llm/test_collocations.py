@@ -3,6 +3,11 @@
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute
+
+from textlens.llm import batches as bt
 from textlens.llm import collocations
 
 
@@ -46,3 +51,28 @@ def test_collocations_match_a_plain_count(spark):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "lang string, text string, doc_id long")
     assert collocations.collocations(empty).count() == 0
+
+
+def test_only_phrases_met_often_travel():
+    rows = pa.RecordBatch.from_pydict({"lang": ["en", "de"], "text": ["Big cats, big\tcats! rare words here", None]})
+    data = pa.BufferOutputStream()
+    with pa.ipc.new_stream(data, rows.schema) as writer:
+        writer.write_batch(rows)
+    keys, counts = collocations._distinct_phrases(3, 3)(rows)
+    assert len(keys) == 9 and counts.sum() == 7 + 4 + 1
+    answers = [{"bucket": int(k) >> 61, "answer": bt.pack(np.array([n], "<u4"))} for k, n in zip(keys, counts)]
+    batch = pa.RecordBatch.from_pydict({"rows": [data.getvalue().to_pybytes()], "answers": [answers]})
+    for least, wanted in ((2, {"": 7, "big": 2, "cats": 2, "big cats": 2}), (3, {"": 7})):
+        sent = pa.Table.from_batches(collocations._send(3, least, 3)(iter([batch])))
+        met = {}
+        for group in sent.column("bucket").unique().to_pylist():
+            part = sent.filter(pa.compute.equal(sent.column("bucket"), group))
+            met |= {r["phrase"]: r["f"] for r in collocations._sum(1)(part).to_pylist()}
+        assert met == wanted
+
+
+def test_counts_are_answered_up_to_what_is_asked():
+    table = pa.table({"bucket": [0, 0], "batch": [1, 2], "asked": [bt.pack(np.array([5, 4], "<u4")), bt.pack(np.array([9], "<u4"))]})
+    table = table.append_column("counts", pa.array([bt.pack(np.array([1, 8], "<u4")), bt.pack(np.array([7], "<u4"))]))
+    answers = [bt.unpack(x.as_py(), "<u4").tolist() for x in bt._answer(10)(table).column("answer")]
+    assert answers == [[1, 10], [10]]
