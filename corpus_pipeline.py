@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from textlens.llm import language, mixing, near, packing, suffixes
 from textlens.llm.queries import CONTEXT, LANGUAGES, op2_rows, tokenizer_path
-from textlens.session import delete_path, scratch_path, scratch_paths
+from textlens.session import delete_path, scratch_path, scratch_paths, small_arrow_batches
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -48,6 +48,7 @@ def _stage(function: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Cal
             for path in _spent:
                 delete_path(spark, path)
             _spent.clear()
+        small_arrow_batches(spark)  # and it stays so, as the result is not yet computed
         with scratch_paths() as made:
             result = function(spark, docs, sf_dir)
         _spent.extend(made)

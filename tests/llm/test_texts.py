@@ -277,3 +277,26 @@ def test_only_texts_and_evidence_go_through_python(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "MapInArrow" not in plan and "ArrowEvalPython" in plan
     assert {r["doc_id"]: r["text"] for r in found.collect()} == {r["doc_id"]: r["text"] for r in docs.collect()}
+
+
+def test_stages_keep_arrow_batches_small(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.nbytes]})
+
+    import corpus_pipeline as cp
+    from textlens.session import small_arrow_batches
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "67108864b")
+        docs = spark.range(1_500).selectExpr("id AS doc_id", "repeat('word ', 4000) AS text", "'en' AS lang", "'a' AS source", "20000L AS n_chars").coalesce(1)
+        cp.mixed_sources(spark, docs, "")
+        found = [r["n"] for r in docs.mapInArrow(sizes, "n long").collect()]
+        assert sum(found) > 30_000_000 and max(found) < 5_000_000
+        spark.conf.set(name, "1m")
+        small_arrow_batches(spark)
+        assert spark.conf.get(name) == "1m"
+    finally:
+        spark.conf.set(name, before)
