@@ -78,8 +78,8 @@ def without_earlier_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
     A character that loses some of its bytes goes as a whole. A text that loses everything stays as an empty one.
     """
-    kept = suffixes.remove_earlier_strings(_documents(docs))
-    return _documents(kept.mapInArrow(suffixes.kept_texts, docs.select(*COLUMNS).schema))
+    rows = _documents(docs)
+    return _documents(suffixes.remove_earlier_strings(rows, then=suffixes.kept_texts, shape=rows.schema))
 
 
 @_stage

@@ -300,3 +300,15 @@ def test_stages_keep_arrow_batches_small(spark):
         assert spark.conf.get(name) == "1m"
     finally:
         spark.conf.set(name, before)
+
+
+def test_suffix_stage_takes_one_python_step(spark):
+    import corpus_pipeline as cp
+
+    text = "one passage of more than fifty bytes that stands in two texts "
+    docs = spark.createDataFrame([(1, text + "é", "en", "a", 1), (2, text + "b", "en", "a", 1), (3, None, "en", "a", 0)], "doc_id long, text string, lang string, source string, n_chars long")
+    found = cp.without_earlier_strings(spark, docs, "")
+    plain = suffixes.remove_earlier_strings(docs).mapInArrow(suffixes.kept_texts, docs.schema)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, plain.collect()))
+    steps = [frame._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") for frame in (found, plain)]
+    assert steps[0] == steps[1] - 1
