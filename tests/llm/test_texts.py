@@ -163,6 +163,26 @@ def test_leaders_find_what_the_first_misses(spark):
     assert compared == {(name(i), name(j)) for i in range(5) for j in range(i + 1, 5)}  # 0 and 1 are linked, and were compared first
 
 
+def test_texts_that_share_too_little_are_not_met(spark):
+    name = lambda i: bytes([i]) * 16
+    rows = [(bucket, name(i), 1.0, 0.95 if i < 3 else 0.85) for bucket in (1, 2, 3) for i in range(40)]
+    members = near._members(spark.createDataFrame(rows, "bucket long, node binary, weight double, shared double"))
+    labels = spark.createDataFrame([], "node binary, label binary")
+    _, pairs = near._open_pairs(members, labels, None, 40, 0.8)
+    assert {(bytes(r["a"]), bytes(r["b"])) for r in pairs.collect()} == {(name(0), name(1)), (name(0), name(2)), (name(1), name(2))}
+
+
+def test_families_with_own_parts_equal_brute_force(spark):
+    rng = random.Random(11)
+    passage = _prose(rng, 80)
+    rows = [(i, passage + " " + _prose(rng, rng.randint(2, 25))) for i in range(1, 61)]
+    rows += [(100 + i, _changed(rng, passage, 0.03)) for i in range(40)]
+    rows += [(200 + i, rows[i][1]) for i in range(0, 100, 7) for _ in range(2)]  # copies: what only they hold is shared with no other text
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = near.near_duplicates(docs)
+    assert collections.Counter((r["doc_id"], r["class_id"]) for r in got.collect()) == _plain_classes(rows)
+
+
 def test_components_of_a_chain(spark):
     name = lambda i: i.to_bytes(2, "big")
     links = spark.createDataFrame([(name(i), name(i + 1)) for i in range(12)] + [(name(50), name(60)), (name(70), name(60))], "a binary, b binary")

@@ -17,12 +17,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textlens.llm import batches as bt
-from textlens.operators.joins import measured_join
-from textlens.session import cut, cut_counted, store
+from textlens.session import cut, store
 
 # Tables of buckets or nodes up to this number of rows are broadcast, some 50 bytes a row.
 BROADCAST_ROWS = 100_000
 
+# Texts to be compared are broadcast up to this number of bytes, as every pair would carry one through an exchange otherwise.
+BROADCAST_BYTES = 16 << 20
+
+# Rows of a stored table that a task goes on with; a small table in hundreds of partitions costs as many files in each exchange.
+PART_ROWS = 25_000
+
+# Tasks that count a stored table.
+COUNTING = 16
+
+# Numbers of copies of a text for which its weight beyond them is kept; more count as the last.
+COPIES = 16
+
 # Leaders of a bucket in the second round; each further round takes as many times more.
 LEADERS = 4
 
@@ -121,16 +132,23 @@ def weighted_samples(found: np.ndarray, weights: np.ndarray, ends: np.ndarray, s
     return out
 
 
-_SKETCH = "batch long, row int, rank long, node binary, bands array<long>, weight double, weighed binary"
+_SKETCH = "batch long, row int, rank long, node binary, bands array<long>, weight double, beyond array<float>, weighed binary"
 
 
-def _sketched(number: int, rows: np.ndarray, ranks: np.ndarray, nodes=None, bands=None, sums=None, blobs=None) -> pa.RecordBatch:
+def _lists(values: np.ndarray) -> pa.ListArray:
+    """The rows of a matrix as lists."""
+    ends = np.arange(len(values) + 1, dtype=np.int32) * values.shape[1]
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values.ravel()))
+
+
+def _sketched(number: int, rows: np.ndarray, ranks: np.ndarray, nodes=None, bands=None, sums=None, beyond=None, blobs=None) -> pa.RecordBatch:
     size = len(rows)
     columns = [pa.array(np.full(size, number)), pa.array(rows.astype(np.int32)), pa.array(ranks), pa.array(nodes or [None] * size, pa.binary())]
     columns.append(bands if bands is not None else pa.nulls(size, pa.list_(pa.int64())))
     columns.append(pa.array(sums) if sums is not None else pa.nulls(size, pa.float64()))
+    columns.append(beyond if beyond is not None else pa.nulls(size, pa.list_(pa.float32())))
     columns.append(pa.array(blobs or [None] * size, pa.binary()))
-    return pa.RecordBatch.from_arrays(columns, ["batch", "row", "rank", "node", "bands", "weight", "weighed"])
+    return pa.RecordBatch.from_arrays(columns, ["batch", "row", "rank", "node", "bands", "weight", "beyond", "weighed"])
 
 
 def _sketch(key: str, text: str, words: int, documents: int, least: float, share: float, bands: int, rows_per_band: int):
@@ -157,8 +175,10 @@ def _sketch(key: str, text: str, words: int, documents: int, least: float, share
                 lengths = np.diff(ends)[chosen]
                 part_ends = np.r_[0, np.cumsum(lengths)]
                 at = np.arange(part_ends[-1]) - np.repeat(part_ends[:-1], lengths) + np.repeat(ends[chosen], lengths)
-                part, heavy = found[at], weights[at]
+                part, heavy, holders = found[at], weights[at], held_by[at]
                 sums = np.add.reduceat(heavy, part_ends[:-1])
+                beyond = [np.add.reduceat(np.where(holders > n, heavy, 0.0), part_ends[:-1]) for n in range(1, COPIES + 1)]
+                beyond = _lists(np.stack(beyond, axis=1).astype(np.float32))
                 drawn = weighted_samples(part, heavy, part_ends, bands * rows_per_band)
                 drawn = drawn.reshape(len(chosen), bands, rows_per_band)
                 band_keys = np.zeros((len(chosen), bands), dtype=np.uint64) + np.arange(1, bands + 1, dtype=np.uint64)
@@ -172,10 +192,10 @@ def _sketch(key: str, text: str, words: int, documents: int, least: float, share
                     new = nodes[-1] not in seen  # copies in a batch need their shingles once
                     seen.add(nodes[-1])
                     blobs.append(pack_weighed(part[own], heavy[own]) if new else None)
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, bands * len(chosen) + 1, bands, dtype=np.int32)), pa.array(band_keys.ravel().view(np.int64)))
+                lists = _lists(band_keys.view(np.int64))
                 for begin in range(0, len(chosen), 500):
                     part = slice(begin, begin + 500)
-                    yield _sketched(number, chosen[part], keys[chosen[part]], nodes[part], lists[part], sums[part], blobs[part])
+                    yield _sketched(number, chosen[part], keys[chosen[part]], nodes[part], lists[part], sums[part], beyond[part], blobs[part])
         bt.release()
 
     return run
@@ -211,15 +231,31 @@ def _verify(least: float):
     return run
 
 
+def _counted(frame: DataFrame) -> tuple[DataFrame, int]:
+    """``frame`` stored, in no more partitions than its rows need, and the number of its rows."""
+    stored = cut(frame)
+    rows = stored.coalesce(COUNTING).count()
+    return stored.coalesce(1 + rows // PART_ROWS), rows
+
+
+def _met(large: DataFrame, small: DataFrame, keys: list[str], how: str = "inner", rows: int | None = None) -> DataFrame:
+    """Join with a table of buckets or nodes, each of some 50 bytes: broadcast while it is small. ``rows`` is given if it is stored."""
+    if rows is None:
+        small, rows = _counted(small)
+    return large.join(F.broadcast(small) if rows <= BROADCAST_ROWS else small, keys, how)
+
+
 def _links(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """Pairs of nodes whose weighted similarity reaches ``least``; only texts that are in a pair are moved."""
-    pairs, rows = cut_counted(pairs)
-    sides = []
-    for side, name in (("a", "left"), ("b", "right")):
-        wanted = pairs.select(F.col(side).alias("node")).distinct()
-        held = measured_join(texts, wanted, ["node"], "left_semi", BROADCAST_ROWS, rows)
-        sides.append(held.select(F.col("node").alias(side), F.col("weighed").alias(name)))
-    met = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "left", "right")
+    pairs, rows = _counted(pairs)
+    wanted, nodes = _counted(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    held = cut(_met(texts, wanted, ["node"], "left_semi", nodes))
+    size = held.coalesce(COUNTING).agg(F.sum(F.length("weighed") + 50)).first()[0] or 0
+    if size <= BROADCAST_BYTES:
+        pairs, held = pairs.repartition(min(1 + rows // 2_000, pairs.sparkSession.sparkContext.defaultParallelism * 4)), F.broadcast(held)
+    left = held.select(F.col("node").alias("a"), F.col("weighed").alias("left"))
+    right = held.select(F.col("node").alias("b"), F.col("weighed").alias("right"))
+    met = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
     return met.mapInArrow(_verify(least), "a binary, b binary, linked boolean").select("a", "b")
 
 
@@ -229,42 +265,55 @@ def components(links: DataFrame) -> DataFrame:
     Labels go to neighbours and then to the label's own label until nothing changes, so a round halves
     long chains; each round is written to the checkpoint folder.
     """
-    both = cut(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = cut(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label")).withColumn("label", F.least("node", "label")))
+    both, rows = _counted(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    parts = 1 + rows // PART_ROWS
+    labels, nodes = _counted(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label")).withColumn("label", F.least("node", "label")))
     while True:
-        near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        lower = labels.join(near, "node").select("node", F.col("label").alias("before"), F.least("label", "near").alias("label"))
-        jump = lower.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        moved = cut(lower.join(jump, "label", "left").select("node", "before", F.least("label", F.coalesce("further", "label")).alias("label")))
-        changed = moved.where(F.col("before") != F.col("label")).limit(1).count()
+        near = _met(both, labels.select(F.col("node").alias("b"), "label"), ["b"], rows=nodes)
+        near = near.select(F.col("a").alias("node"), "label", F.lit(None).cast("binary").alias("own"))
+        lower = near.union(labels.select("node", "label", F.col("label").alias("own")))
+        lower = lower.groupBy("node").agg(F.max("own").alias("before"), F.min("label").alias("label"))
+        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
+        moved = _met(lower, jump, ["label"], "left", nodes)
+        moved = cut(moved.select("node", "before", F.least("label", F.coalesce("further", "label")).alias("label")).coalesce(parts))
         labels = moved.select("node", "label")
-        if not changed:
+        if moved.where(F.col("before") != F.col("label")).isEmpty():
             return labels
 
 
 def _members(named: DataFrame) -> DataFrame:
-    """``(bucket, turn, node, weight)`` of buckets with several nodes.
+    """``(bucket, turn, node, weight, shared, buckets)`` of buckets with several nodes.
 
     ``turn`` orders leaders: first the nodes whose buckets hold most members, as the text that others were copied from
-    agrees with each of them in more bands than they do with each other.
+    agrees with each of them in more bands than they do with each other. ``shared`` is the weight of shingles that other
+    nodes may hold, all of ``weight`` if it is not given; ``buckets`` are all buckets with several nodes that hold the node.
     """
-    shared = named.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    met = store(measured_join(named, shared, ["bucket"], limit_rows=BROADCAST_ROWS), "buckets")
-    met_by = met.groupBy("node").agg(F.struct((-F.sum("n")).alias("met"), F.col("node").alias("node")).alias("turn"))
-    return store(measured_join(met.select("bucket", "node", "weight"), met_by, ["node"], limit_rows=BROADCAST_ROWS), "members")
-
-
-def _alike(one: str, other: str, least: float) -> Column:
-    """Whether two weights allow the least similarity: it is at most their quotient."""
-    return F.least(one, other) >= F.greatest(one, other) * F.lit(least - 1e-6)
+    if "shared" not in named.columns:
+        named = named.withColumn("shared", F.col("weight"))
+    several = named.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    met = _met(named, several, ["bucket"])
+    nodes = met.groupBy("node").agg(
+        F.first("weight").alias("weight"), F.first("shared").alias("shared"), F.sum("n").alias("n"), F.sort_array(F.collect_list("bucket")).alias("buckets")
+    )
+    nodes = store(nodes.withColumn("turn", F.struct((-F.col("n")).alias("met"), F.col("node").alias("node"))), "members")
+    return nodes.select(F.explode("buckets").alias("bucket"), "turn", "node", "weight", "shared", "buckets")
+
+
+def _may_link(weight: str, shared: str, own: str, common: str, least: float) -> Column:
+    """Whether two weights, and what of them other texts hold, allow the least similarity.
+
+    The similarity is O / (W + V - O) for the weight O that two texts of the weights W and V have in common, and O is at
+    most what either shares with any other text.
+    """
+    return F.least(shared, common) >= (F.col(weight) + F.col(own)) * F.lit(least / (1 + least) * (1 - 1e-6))
 
 
 def _star(members: DataFrame, least: float) -> DataFrame:
     """Each member of a bucket beside the bucket's first one."""
-    first = members.groupBy("bucket").agg(F.min(F.struct("turn", F.col("weight").alias("own"))).alias("first"))
-    first = first.select("bucket", F.col("first.turn.node").alias("a"), F.col("first.own").alias("own"))
-    met = measured_join(members, first, ["bucket"], limit_rows=BROADCAST_ROWS)
-    return met.where((F.col("node") != F.col("a")) & _alike("weight", "own", least)).select("a", F.col("node").alias("b")).distinct()
+    first = members.groupBy("bucket").agg(F.min(F.struct("turn", F.col("weight").alias("own"), F.col("shared").alias("common"))).alias("first"))
+    first = first.select("bucket", F.col("first.turn.node").alias("a"), F.col("first.own").alias("own"), F.col("first.common").alias("common"))
+    met = _met(members.drop("buckets"), first, ["bucket"])
+    return met.where((F.col("node") != F.col("a")) & _may_link("weight", "shared", "own", "common", least)).select("a", F.col("node").alias("b")).distinct()
 
 
 def _open_pairs(
@@ -272,22 +321,27 @@ def _open_pairs(
 ) -> tuple[DataFrame, DataFrame]:
     """Next leaders of the buckets that hold several components, and their pairs with members of other components.
 
-    Two members of different components have been compared once either has led the bucket, or their weights alone
-    rule a link out, so those who led are not met again, and the members of a bucket's largest component need not lead.
+    Two members of different components have been compared once either has led the least bucket that holds both, or their
+    weights alone rule a link out, so those who led are not met again, and the members of a bucket's largest component need not lead.
     """
-    named = measured_join(members, labels, ["node"], "left", BROADCAST_ROWS).withColumn("label", F.coalesce("label", "node"))
+    labels, rows = _counted(labels)
+    named = _met(members, labels, ["node"], "left", rows).withColumn("label", F.coalesce("label", "node"))
     sizes = named.groupBy("bucket", "label").agg(F.count("*").alias("n"))
     kinds = sizes.groupBy("bucket").agg(F.count("*").alias("kinds"), F.max_by("label", F.struct("n", "label")).alias("largest"))
-    mixed = measured_join(named, kinds.where("kinds > 1").drop("kinds"), ["bucket"], limit_rows=BROADCAST_ROWS)
+    mixed = _met(named, kinds.where("kinds > 1").drop("kinds"), ["bucket"])
     if led is not None:
-        mixed = measured_join(mixed, led, ["bucket", "node"], "left_anti", BROADCAST_ROWS)
+        mixed = _met(mixed, led, ["bucket", "node"], "left_anti")
     mixed = store(mixed, "mixed")
     order = Window.partitionBy("bucket").orderBy("turn")
     waiting = mixed.where(F.col("label") != F.col("largest")).withColumn("_n", F.row_number().over(order))
-    chosen = cut(waiting.where(F.col("_n") <= leaders).select("bucket", "node", "label", "weight"))
-    other = chosen.select("bucket", F.col("node").alias("leader"), F.col("label").alias("of"), F.col("weight").alias("own"))
-    met = measured_join(mixed, other, ["bucket"], limit_rows=BROADCAST_ROWS)
-    met = met.where((F.col("label") != F.col("of")) & _alike("weight", "own", least))
+    chosen, rows = _counted(waiting.where(F.col("_n") <= leaders).select("bucket", "node", "label", "weight", "shared", "buckets"))
+    other = chosen.select(
+        "bucket", F.col("node").alias("leader"), F.col("label").alias("of"), F.col("weight").alias("own"),
+        F.col("shared").alias("common"), F.col("buckets").alias("places"),
+    )
+    met = _met(mixed, other, ["bucket"], rows=4 * rows)  # a row with its buckets is some four times as long
+    met = met.where((F.col("label") != F.col("of")) & _may_link("weight", "shared", "own", "common", least))
+    met = met.where(F.array_min(F.array_intersect("buckets", "places")) == F.col("bucket"))
     pairs = met.select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")).distinct()
     return chosen.select("bucket", "node"), pairs
 
@@ -301,27 +355,33 @@ def _classes(batches: DataFrame, key: str, text: str, words: int, least: float,
     path = bt.scratch_path(spark, "sketches")
     counted.mapInArrow(sketch, _SKETCH).write.option("compression", "zstd").parquet(path)
     sketches = spark.read.schema(_SKETCH).parquet(path)
-    named = store(sketches.select("node", "weight", F.explode("bands").alias("bucket")).dropDuplicates(["node", "bucket"]), "named")
+    # what as many documents hold as there are copies of the text is in no other text
+    copies = F.least(F.count("*"), F.lit(COPIES)).cast("int")
+    nodes = sketches.where(F.col("node").isNotNull()).groupBy("node").agg(
+        F.first("weight").alias("weight"), F.element_at(F.first("beyond"), copies).cast("double").alias("shared"), F.first("bands").alias("bands")
+    )
+    named = store(nodes, "nodes").select("node", "weight", "shared", F.explode(F.array_distinct("bands")).alias("bucket"))
     members = _members(named)
     texts = sketches.where(F.col("weighed").isNotNull()).groupBy("node").agg(F.first("weighed").alias("weighed"))
-    texts = store(texts.join(members.select("node").distinct(), "node", "left_semi"), "texts")
-    links = cut(_links(_star(members, least), texts, least))
-    labels, led, leaders = components(links), None, LEADERS
+    texts = store(_met(texts, members.select("node").distinct(), ["node"], "left_semi"), "texts")
+    labels, led, leaders = components(_links(_star(members, least), texts, least)), None, LEADERS
     while True:
         chosen, pairs = _open_pairs(members, labels, led, leaders, least)
-        if not chosen.limit(1).count():
+        if chosen.isEmpty():
             break
-        led = chosen if led is None else cut(led.union(chosen))
-        links = cut(links.union(_links(pairs, texts, least)))
-        labels, leaders = components(links), leaders * LEADERS
+        led = chosen if led is None else led.union(chosen)
+        links = cut(_links(pairs, texts, least))
+        if not links.isEmpty():  # what was linked before stays so by its label
+            labels = components(links.union(labels.where(F.col("node") != F.col("label")).select("node", "label")))
+        leaders *= LEADERS
     rows = sketches.select("batch", "row", "rank", "node")
     # a row without a node is a class of its own
     alone = rows.where(F.col("node").isNull()).select("batch", "row", "rank", F.col("rank").alias("class"), F.lit(True).alias("first"))
-    named = measured_join(rows.where(F.col("node").isNotNull()), labels, ["node"], "left", BROADCAST_ROWS)
+    named = _met(rows.where(F.col("node").isNotNull()), labels, ["node"], "left")
     named = named.withColumn("label", F.coalesce("label", "node")).drop("node")
     place = F.struct("rank", "batch", "row")
     classes = named.groupBy("label").agg(F.min(place).alias("least"))
-    joined = measured_join(named, classes, ["label"], limit_rows=BROADCAST_ROWS)
+    joined = _met(named, classes, ["label"])
     judged = joined.select("batch", "row", "rank", F.col("least.rank").alias("class"), (place == F.col("least")).alias("first"))
     return judged.unionByName(alone)
 
@@ -351,7 +411,8 @@ def near_duplicates(
 
     In each bucket all members are compared with one leader, then members of components that remain apart with
     further leaders, until every two members are linked or compared: pairs inside a component are
-    not needed. Copies are one node, so a large group of them is one member.
+    not needed, and pairs of which one text shares too little weight with any other text cannot link. A pair is met in one
+    bucket. Copies are one node, so a large group of them is one member.
     """
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
     found = _classes(bt.store_batches(rows, "text"), "key", "text", words, least, bands, rows_per_band, share)
