@@ -190,6 +190,16 @@ def test_components_of_a_chain(spark):
     assert got == {**{name(i): name(0) for i in range(13)}, **{name(i): name(50) for i in (50, 60, 70)}}
 
 
+def test_further_links_join_components(spark):
+    name = lambda i: i.to_bytes(2, "big")
+    frame = lambda pairs: spark.createDataFrame([(name(a), name(b)) for a, b in pairs], "a binary, b binary")
+    labels = near.components(frame([(5, 6), (6, 7), (20, 21), (30, 31)]))
+    got = near._merged(labels, frame([(7, 21), (40, 41), (3, 6), (5, 7)]))
+    assert sorted((r["node"][1], r["label"][1]) for r in got.collect()) == [
+        (3, 3), (5, 3), (6, 3), (7, 3), (20, 3), (21, 3), (30, 30), (31, 30), (40, 40), (41, 40)
+    ]
+
+
 # ---------------------------------------------------------------- suffixes
 
 

@@ -281,6 +281,19 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` with further links, of which only the labels of both ends go through :func:`components` again."""
+    labels, rows = _counted(labels)
+    for side in ("a", "b"):
+        known = labels.select(F.col("node").alias(side), "label")
+        links = _met(links, known, [side], "left", rows).withColumn(side, F.coalesce("label", side)).drop("label")
+    over = components(links.where("a != b"))
+    upper, n = _counted(over)
+    moved = _met(labels, upper.select(F.col("node").alias("label"), F.col("label").alias("upper")), ["label"], "left", n)
+    moved = moved.select("node", F.coalesce("upper", "label").alias("label"))
+    return cut(moved.union(_met(upper, labels.select("node"), ["node"], "left_anti", rows).select("node", "label")).coalesce(1 + (rows + n) // PART_ROWS))
+
+
 def _members(named: DataFrame) -> DataFrame:
     """``(bucket, turn, node, weight, shared, buckets)`` of buckets with several nodes.
 
@@ -371,8 +384,8 @@ def _classes(batches: DataFrame, key: str, text: str, words: int, least: float,
             break
         led = chosen if led is None else led.union(chosen)
         links = cut(_links(pairs, texts, least))
-        if not links.isEmpty():  # what was linked before stays so by its label
-            labels = components(links.union(labels.where(F.col("node") != F.col("label")).select("node", "label")))
+        if not links.isEmpty():
+            labels = _merged(labels, links)
         leaders *= LEADERS
     rows = sketches.select("batch", "row", "rank", "node")
     # a row without a node is a class of its own
