@@ -132,3 +132,18 @@ def test_mentions_by_lookup_equal_mentions_by_join(spark, monkeypatch):
     monkeypatch.setattr(gr, "BROADCAST_ROWS", 0)
     same(gr.entity_mentions(lines, entities), expected)
     assert rows(gr.entity_mentions(lines, entities.where("entity_id = 9"))) == []
+
+
+def test_few_edges_are_ranked_without_joins(spark, monkeypatch):
+    pairs = [(i % 13 * 5, (i * i + 3) % 11 * 5) for i in range(80)] + [(200, 0), (0, 0), (0, 0)]
+    edges = spark.createDataFrame(pairs, "src long, dst long").repartition(3)
+
+    def ranks():
+        return rows(gr.pagerank(edges, rounds=10, stride=3)), rows(gr.hits(edges, rounds=5, stride=2))
+
+    with monkeypatch.context() as patch:
+        patch.setattr(gr, "_spread", lambda *a: pytest.fail("edges joined with few ranks"))
+        held = ranks()
+    monkeypatch.setattr(gr, "_known_nodes", lambda edges, table, n: None)
+    for a, b in zip(held, ranks()):
+        assert len(a) == len(b) and all(x == pytest.approx(y, abs=1e-12) for x, y in zip(a, b))
